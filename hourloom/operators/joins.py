@@ -2,34 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # About 80 MB of 400-byte rows: the most a hinted broadcast may hold.
 BROADCAST_ROWS = 200_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting (at most ``max_rows + 1`` rows of) ``df``.
-
-    A larger side is returned unhinted, and Spark joins it by shuffle.
-    Meant for calendars and date mappings, where the count is a cheap job.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Counts at most ``max_rows + 1`` rows of ``df``. Runs that small job now."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def equal_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for i, (a, b) in enumerate(pairs):
-        match = left[a] == right[b]
-        condition = match if i == 0 else condition & match
-    return condition
-
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df`` if the count allows it.
 
-def left_join_renamed(left: DataFrame, right: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """LEFT equi-join on same-named columns, taking only ``columns`` from the right."""
-    return left.join(right.select(*on, *columns), list(on), "left")
+    A larger side is returned unhinted, and Spark joins it by shuffle. Meant for stored
+    calendars and date mappings, where the count reads little.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df

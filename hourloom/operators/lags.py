@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.operators.joins import small_side
+from hourloom.operators.joins import BROADCAST_ROWS, is_small, small_side
 
 
 def lag_by_date(
@@ -65,8 +65,11 @@ def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
     ).where("__from IS NOT NULL AND target IS NOT NULL")
     # One row per date; the list holds the few dates that look back at it.
     forward = links.groupBy("__from").agg(F.collect_list(F.struct("target", "slot")).alias("__to"))
+    if is_small(mapping, BROADCAST_ROWS // len(lags)):
+        # Its lists hold at most one entry per mapping row and lag.
+        forward = F.broadcast(forward)
     itself = F.array(F.struct(F.col(date).alias("target"), F.lit(0).alias("slot")))
-    sent = df.join(small_side(forward), F.col(date) == F.col("__from"), "left").select(
+    sent = df.join(forward, F.col(date) == F.col("__from"), "left").select(
         *keys,
         *others,
         F.inline(F.when(F.col("__to").isNull(), itself).otherwise(F.concat(itself, F.col("__to")))),

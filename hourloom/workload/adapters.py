@@ -6,12 +6,13 @@ Events are the readings: their type, or their user, is the site they come from.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.operators.calendar import calendar_spanning
+from hourloom.operators.calendar import calendar_spanning, date_lag_mapping
+from hourloom.shared import new_folder
 
 AS_OF = dt.date(2024, 1, 31)
 HOLIDAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 8), dt.date(2024, 2, 12))
@@ -78,14 +79,37 @@ def weather(spark: SparkSession, folder: str, place: str = "event_type", name: s
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Whole months around the events."""
-    return calendar_spanning(events(spark, folder).select(F.col("ts").cast("date").alias("date")), "date", HOLIDAYS)
+    days = events(spark, folder).select(F.col("ts").cast("date").alias("date"))
+    return _stored(spark, folder, "calendar", lambda: calendar_spanning(days, "date", HOLIDAYS))
 
 
 def ship_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Whole months around the shipping dates: years of days."""
-    return calendar_spanning(
-        table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")), "date", HOLIDAYS
-    )
+    days = table(spark, folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
+    return _stored(spark, folder, "ship-calendar", lambda: calendar_spanning(days, "date", HOLIDAYS))
+
+
+def lag_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    cal = calendar(spark, folder)
+    return _stored(spark, folder, "lags", lambda: date_lag_mapping(cal, [1, 7], [1]))
+
+
+def ship_lag_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    cal = ship_calendar(spark, folder)
+    return _stored(spark, folder, "ship-lags", lambda: date_lag_mapping(cal, [1, 7], [1]))
+
+
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Calendars and lag mappings are tables made once, here once per application."""
+    place = (spark.sparkContext.applicationId, folder, name)
+    if place not in _PATHS:
+        path = new_folder(spark, name)
+        make().coalesce(1).write.parquet(path)
+        _PATHS[place] = path
+    return spark.read.parquet(_PATHS[place])
 
 
 def predictions(spark: SparkSession, folder: str, keys: Sequence[str] = ()) -> DataFrame:

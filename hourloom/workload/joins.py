@@ -66,15 +66,11 @@ _LAG_JOIN = """SELECT r.l_suppkey, r.date, r.revenue, {extra} a.revenue AS lag_1
   LEFT JOIN {source} c ON c.l_suppkey = r.l_suppkey AND c.date = m.lag_1_business_date"""
 
 
-def _ship_mapping(spark, folder):
-    return date_lag_mapping(adapters.ship_calendar(spark, folder), [1, 7], [1])
-
-
 @query(over("ship_calendar ship_business revenue", _LAG_JOIN.format(extra="", source="revenue"), mapping=_SHIP_MAPPING))
 def lag_join_by_date(spark, folder):
     """Revenue per supplier and day with earlier days' revenue; days have gaps."""
     return lag_by_date(
-        adapters.revenue(spark, folder), _ship_mapping(spark, folder), "revenue", _LAGS, ["l_suppkey"], unique=True
+        adapters.revenue(spark, folder), adapters.ship_lag_mapping(spark, folder), "revenue", _LAGS, ["l_suppkey"], unique=True
     )
 
 
@@ -94,7 +90,7 @@ def lag_join_repeated_rows(spark, folder):
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_returnflag", "l_linestatus")
         .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("revenue"))
     )
-    return lag_by_date(rows, _ship_mapping(spark, folder), "revenue", _LAGS, ["l_suppkey"])
+    return lag_by_date(rows, adapters.ship_lag_mapping(spark, folder), "revenue", _LAGS, ["l_suppkey"])
 
 
 @query(

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.operators.calendar import date_lag_mapping
 from hourloom.plans.accuracy import prediction_accuracy
 from hourloom.plans.dashboard import dashboard
 from hourloom.plans.features import future_features, ml_features
@@ -23,10 +22,6 @@ from hourloom.workload.sql import half_up, over
 PLACE = ("prefecture", adapters.SITE)
 
 
-def _mapping(cal: DataFrame) -> DataFrame:
-    return date_lag_mapping(cal, [1, 7], [1])
-
-
 def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({"hour_sin": F.round("hour_sin", 6), "hour_cos": F.round("hour_cos", 6)})
 
@@ -63,7 +58,7 @@ def ml_features_full(spark, folder):
             adapters.energy(spark, folder),
             adapters.weather(spark, folder),
             cal,
-            _mapping(cal),
+            adapters.lag_mapping(spark, folder),
             PLACE,
             unique=True,
         )
@@ -85,7 +80,7 @@ def ml_features_incremental(spark, folder):
             adapters.energy(spark, folder),
             adapters.weather(spark, folder),
             cal,
-            _mapping(cal),
+            adapters.lag_mapping(spark, folder),
             PLACE,
             as_of=dt.date(2024, 1, 24),
         )
@@ -98,7 +93,7 @@ def site_features(spark: SparkSession, folder: str) -> DataFrame:
         adapters.energy(spark, folder, ["user_id"]),
         adapters.weather(spark, folder, "user_id", "user_id"),
         cal,
-        _mapping(cal),
+        adapters.lag_mapping(spark, folder),
         keys=["user_id"],
         unique=True,
     )
