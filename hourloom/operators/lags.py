@@ -39,7 +39,11 @@ def lag_by_date(
         *[F.col(k).alias(f"__{k}") for k in keys], F.col(date).alias("__date"), F.col(value).alias("__value")
     )
     for name, mapped_date in lags.items():
-        match = F.col(mapped_date) == F.col("__date")
+        # A date that maps to nothing (a weekend's business lag) matches nothing. Such rows
+        # are many: keyed by their own date they spread like the others, where a NULL key
+        # would send them all to the same few tasks.
+        mapped_to = F.coalesce(mapped_date, date)
+        match = (mapped_to == F.col("__date")) & F.col(mapped_date).isNotNull()
         for k in keys:
             match = match & (F.col(k) == F.col(f"__{k}"))
         out = (

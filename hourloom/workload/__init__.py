@@ -7,6 +7,6 @@ from types import ModuleType
 
 def load() -> ModuleType:
     """Import every query module; returns the registry they filled."""
-    from hourloom.workload import aggregates, ingestion, joins, marts, refreshes, registry, rows  # noqa: F401
+    from hourloom.workload import aggregates, ingestion, joins, marts, refreshes, registry, rows, trees  # noqa: F401
 
     return registry

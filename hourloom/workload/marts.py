@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hourloom.plans.accuracy import prediction_accuracy
 from hourloom.plans.dashboard import dashboard
 from hourloom.plans.features import future_features, ml_features
-from hourloom.plans.forecast import forecast, same_hour_last_week, train, tree_predictor
+from hourloom.plans.forecast import forecast, same_hour_last_week
 from hourloom.plans.quality import power_period, power_rules, quality_checks
 from hourloom.plans.status import system_status
 from hourloom.workload import adapters
@@ -296,7 +296,7 @@ def _every_hour(weather: DataFrame, sites: DataFrame) -> DataFrame:
     return frame.join(weather, [*sites.columns, "date", "hour"], "left")
 
 
-def _site_future(spark: SparkSession, folder: str, cal: DataFrame) -> DataFrame:
+def site_future(spark: SparkSession, folder: str, cal: DataFrame) -> DataFrame:
     weather = adapters.weather(spark, folder, "user_id", "user_id")
     sites = adapters.events(spark, folder).select("user_id").distinct()
     return future_features(_every_hour(weather, sites), cal, START, keys=["user_id"])
@@ -321,7 +321,7 @@ _SPINE = """SELECT user_id, DATE '2024-01-16' + CAST(t AS INT) AS date, CAST(h A
 )
 def forecast_seasonal_naive(spark, folder):
     cal = adapters.calendar(spark, folder)
-    history, future = _site_history(spark, folder, cal), _site_future(spark, folder, cal)
+    history, future = _site_history(spark, folder, cal), site_future(spark, folder, cal)
     return forecast(same_hour_last_week, history, future, START, ["user_id"])
 
 
@@ -361,16 +361,5 @@ def _blend_steps() -> dict[str, str]:
 )
 def forecast_of_lags(spark, folder):
     cal = adapters.calendar(spark, folder)
-    history, future = _site_history(spark, folder, cal), _site_future(spark, folder, cal)
+    history, future = _site_history(spark, folder, cal), site_future(spark, folder, cal)
     return forecast(_blend, history, future, START, ["user_id"])
-
-
-@query()
-def forecast_trees(spark, folder):
-    """Boosted trees fitted to all sites before the start, then 14 days for every site."""
-    cal = adapters.calendar(spark, folder)
-    features = site_features(spark, folder)
-    model = train(features, START)
-    return forecast(
-        tree_predictor(model), features, _site_future(spark, folder, cal), START, ["user_id"]
-    )
