@@ -14,6 +14,15 @@ def day(value: dt.date | str) -> Column:
     return F.lit(value if isinstance(value, dt.date) else dt.date.fromisoformat(value))
 
 
+def moment(value: dt.datetime | str) -> Column:
+    """A zone-less timestamp literal that no time zone setting shifts."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def literal(value) -> Column:
+    return moment(value) if isinstance(value, dt.datetime) else F.lit(value)
+
+
 def today_in(zone: str = "Asia/Tokyo") -> Column:
     """The current date on the wall clock of ``zone``, whatever the session zone is."""
     return F.convert_timezone(None, F.lit(zone), F.localtimestamp()).cast("date")

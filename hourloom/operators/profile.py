@@ -27,15 +27,23 @@ def range_profile(
     """
     if not isinstance(columns, Mapping):
         columns = {c: {"median": 0.5, "p1": 0.01, "p99": 0.99} for c in columns}
-    out: list[Column] = []
+    aggregates: list[Column] = []
+    shown: list[Column] = []
     for c, quantiles in columns.items():
-        out += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.avg(c).alias(f"{c}_avg")]
-        out += [F.percentile_approx(c, q, accuracy).alias(f"{c}_{name}") for name, q in quantiles.items()]
-        out.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
-    out += [F.count_if(F.col(c) < 0).alias(f"{c}_negative_count") for c in negatives]
+        aggregates += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.avg(c).alias(f"{c}_avg")]
+        aggregates.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
+        shown += [F.col(f"{c}_{name}") for name in ("min", "max", "avg")]
+        if quantiles:
+            # One sketch per column answers all its quantiles.
+            sketch = F.percentile_approx(c, list(quantiles.values()), accuracy)
+            aggregates.append(sketch.alias(f"__{c}"))
+            shown += [F.col(f"__{c}")[i].alias(f"{c}_{name}") for i, name in enumerate(quantiles)]
+        shown.append(F.col(f"{c}_nulls"))
+    counts = {f"{c}_negative_count": F.count_if(F.col(c) < 0) for c in negatives}
     if total:
-        out.append(F.count("*").alias(total))
-    return df.agg(*out)
+        counts[total] = F.count("*")
+    aggregates += [count.alias(name) for name, count in counts.items()]
+    return df.agg(*aggregates).select(*shown, *counts)
 
 
 def _null_flags(columns: Sequence[str]) -> Column:

@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourloom.functions.times import moment
 from hourloom.shared import checkpointed
 
 # Model inputs in order, model settings, and how far things reach.
@@ -144,20 +145,28 @@ _AHEAD_COLUMNS = (
 def _ahead(future: DataFrame, as_of: dt.date, keys: Sequence[str], days: int) -> DataFrame:
     """Per series: the features of each day in order. Fails unless every hour is there."""
     step = F.datediff(F.col("date"), F.lit(as_of))
+    day = F.struct(*_AHEAD_COLUMNS)
+    # One slot per day, combined on the map side: repeated rows cost no memory.
     per_series = (
         future.where(step.between(0, days - 1))
         .groupBy(*keys, "hour")
-        .agg(F.array_sort(F.collect_list(F.struct(step.alias("step"), *_AHEAD_COLUMNS))).alias("__ahead"))
+        .agg(
+            F.array(*[F.max(F.when(step == i, day)) for i in range(days)]).alias("__ahead"),
+            F.count("*").alias("__rows"),
+        )
+    )
+    complete = (
+        (F.col("__rows") == days)
+        & F.forall("__ahead", lambda x: x.isNotNull())
+        & F.col("hour").between(0, HOURS - 1)
     )
-    steps = F.transform("__ahead", lambda x: x["step"])
-    complete = (steps == F.sequence(F.lit(0), F.lit(days - 1))) & F.col("hour").between(0, HOURS - 1)
     # At most 24 rows per key are left here.
     hours = F.count("*").over(Window.partitionBy(*(keys or [F.lit(0)])))
     complaint = F.raise_error(F.lit("the future frame must hold every hour of every day exactly once"))
     return (
         per_series.withColumn("__hours", hours)
         .where(F.when(complete & (F.col("__hours") == HOURS), F.lit(True)).otherwise(complaint.cast("boolean")))
-        .drop("__hours")
+        .drop("__hours", "__rows")
     )
 
 
@@ -187,5 +196,5 @@ def as_prediction_rows(forecasts: DataFrame, execution_id: str, created_at: dt.d
         "prediction_date",
         "prediction_hour",
         F.bround("prediction", 2).alias("predicted_power_kwh"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        moment(created_at).alias("created_at"),
     )

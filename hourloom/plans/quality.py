@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourloom.functions.times import moment
+
 # Counts below these are a warning, from these on an error.
 WARNING_BELOW = {"missing": 24, "null": 10, "outlier": 5}
 HOURS_PER_DAY = 24
@@ -118,7 +120,7 @@ def quality_checks(
     return counts.select(*by, F.inline(F.array(*findings))).select(
         *by,
         F.lit(as_of).alias("check_date"),
-        F.lit(at).cast("timestamp_ntz").alias("check_timestamp"),
+        moment(at).alias("check_timestamp"),
         F.lit(data_type).alias("data_type"),
         "check_type",
         "check_target",

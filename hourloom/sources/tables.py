@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourloom.functions.times import literal
+
 PREDICTIONS_CSV = (
     "execution_id string, prediction_date date, prediction_hour int, "
     "predicted_power_kwh double, created_at timestamp_ntz"
@@ -28,9 +30,9 @@ def scan_range(
 ) -> DataFrame:
     """Chosen columns of a closed date range; either end may be open."""
     if first is not None:
-        df = df.where(F.col(date) >= F.lit(first))
+        df = df.where(F.col(date) >= literal(first))
     if last is not None:
-        df = df.where(F.col(date) <= F.lit(last))
+        df = df.where(F.col(date) <= literal(last))
     out = df.select(*columns)
     return out.orderBy(*order) if order else out
 

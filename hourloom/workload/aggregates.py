@@ -65,7 +65,7 @@ def precipitation_profile(spark, folder):
 def line_profile(spark, folder):
     rows = adapters.table(spark, folder, "lineitem")
     columns = {"l_extendedprice": _RAIN, "l_quantity": _RAIN}
-    return _rounded_averages(range_profile(rows, columns, total="total_records", accuracy=1_000_000))
+    return _rounded_averages(range_profile(rows, columns, total="total_records", accuracy=100_000))
 
 
 @query(

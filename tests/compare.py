@@ -78,6 +78,7 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--zone", help="session time zone")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
@@ -90,6 +91,8 @@ def main() -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if args.zone:
+        spark.conf.set("spark.sql.session.timeZone", args.zone)
     connection = connect(folder)
     queries, sql = entry.queries(), entry.oracle_sql()
     bad = 0
