@@ -23,7 +23,7 @@ def range_profile(
 
     ``columns`` may name the quantiles wanted per column (``{"p99": 0.99}``); by default
     median, p1 and p99. Quantiles come from a mergeable sketch of bounded size with rank
-    error 1 / ``accuracy``; it is exact while there are fewer rows than that.
+    error 1 / ``accuracy``; it is exact while there are fewer rows than half of that.
     """
     if not isinstance(columns, Mapping):
         columns = {c: {"median": 0.5, "p1": 0.01, "p99": 0.99} for c in columns}
