@@ -103,8 +103,9 @@ class DatedTable:
         return df if self.grain == "day" else df.drop("month")
 
     def exists(self) -> bool:
+        """Whether any partition is there."""
         files, root = self._file_system()
-        return files.exists(root)
+        return files.exists(root) and bool(self._folders())
 
     def create(self, df: DataFrame) -> None:
         write_partitioned(self._stored(df), self.path, [self.partition], "overwrite", self.cluster_by)
@@ -161,6 +162,10 @@ class DatedTable:
 
     def _replace(self, rows: DataFrame, new_labels: set[str], first, last, key) -> Refreshed:
         first, last = _as_date(first), _as_date(last)
+        if not self.exists():
+            if new_labels:
+                self.overwrite_partitions(rows)
+            return Refreshed(0, rows.count())
         touched = self._read_partitions(first, last).select(*rows.columns)
         before = touched.count()
         kept = outside_range(

@@ -19,14 +19,21 @@ def load_new_files(
     The checkpoint folder remembers the files. ``load`` must give the same table when it
     is called again with the same files, since a batch cut short is repeated.
     """
+    batches = 0
+
+    def counted(batch: DataFrame, number: int) -> None:
+        nonlocal batches
+        load(batch, number)
+        batches += 1
+
     query = (
-        files.writeStream.foreachBatch(load)
+        files.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return batches
 
 
 def _after_loading(reader, archive: str | None, delete: bool):
@@ -83,7 +90,4 @@ def ingest_documents(
 
 
 def _replace(table: DatedTable, rows: DataFrame, key) -> None:
-    if table.exists():
-        table.replace_loaded_range(rows, key)
-    else:
-        table.create(rows)
+    table.replace_loaded_range(rows, key)

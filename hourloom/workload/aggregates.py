@@ -112,9 +112,10 @@ _PRIORITIES = {"urgent": "1-URGENT", "high": "2-HIGH", "low": "5-LOW", "absent":
 
 
 @query(
-    f"""SELECT {', '.join(f"MAX(CASE WHEN o_orderpriority = '{v}' AND rn = 1 THEN o_orderstatus END) AS {k}_status" for k, v in _PRIORITIES.items())}
-    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-    FROM orders)"""
+    f"""SELECT {', '.join(
+        f"arg_max(o_orderstatus, (o_orderdate, o_orderkey)) FILTER (WHERE o_orderpriority = '{v}') AS {k}_status"
+        for k, v in _PRIORITIES.items()
+    )} FROM orders"""
 )
 def conditional_pivot(spark, folder):
     """The latest status of each priority, side by side; one row whatever there is."""

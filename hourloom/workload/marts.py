@@ -104,35 +104,42 @@ def ml_features_by_site(spark, folder):
     return _rounded(site_features(spark, folder))
 
 
-_RATE = half_up("e.actual_power / e.supply_capacity * 100", 1)
-_DASHBOARD = """SELECT {keys} e.date, e.hour, e.actual_power, e.supply_capacity, p.predicted_power_kwh AS predicted_power,
-    abs(p.predicted_power_kwh - e.actual_power) AS error_absolute,
-    CASE WHEN e.actual_power > 0 THEN abs(p.predicted_power_kwh - e.actual_power) / e.actual_power * 100 END
-      AS error_percentage,
-    temperature_2m, relative_humidity_2m, precipitation, weather_code, day_of_week, is_weekend, is_holiday,
-    CASE WHEN e.supply_capacity > 0 THEN {rate} END AS usage_rate,
-    CASE day_of_week WHEN 'Monday' THEN '月' WHEN 'Tuesday' THEN '火' WHEN 'Wednesday' THEN '水'
-      WHEN 'Thursday' THEN '木' WHEN 'Friday' THEN '金' WHEN 'Saturday' THEN '土' WHEN 'Sunday' THEN '日' END AS weekday_jp
-  FROM latest_energy e
-  LEFT JOIN latest_weather w ON e.date = w.date AND e.hour = CAST(w.hour AS INT) AND w.rn = 1 {w}
-  LEFT JOIN calendar c ON e.date = c.date
-  LEFT JOIN latest_predictions p ON e.date = p.prediction_date AND e.hour = p.prediction_hour AND p.rn = 1 {p}
-  WHERE e.rn = 1"""
-
-
-def _latest(source: str, keys: str, where: str = "", order: str = "created_at DESC") -> str:
-    return f"SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM {source} {where}"
+_RATE = half_up("actual_power / supply_capacity * 100", 1)
+_DASHBOARD = f"""SELECT * EXCLUDE (predicted_power_kwh), predicted_power_kwh AS predicted_power,
+    abs(predicted_power_kwh - actual_power) AS error_absolute,
+    if(actual_power > 0, abs(predicted_power_kwh - actual_power) / actual_power * 100, NULL) AS error_percentage,
+    if(supply_capacity > 0, {_RATE}, NULL) AS usage_rate,
+    map(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'],
+      ['月', '火', '水', '木', '金', '土', '日'])[day_of_week] AS weekday_jp
+  FROM shown_reading LEFT JOIN shown_weather USING (GRAIN) LEFT JOIN shown_forecast USING (GRAIN)
+  LEFT JOIN calendar USING (date)"""
+
+
+def _dashboard_sql(readings: str, weather: str, runs: str, key: str = "", since: str = "2023-01-01", place: str = "TRUE"):
+    """Each source cut to its newest row of an hour, then joined on the hour."""
+    grain = f"{key}date, hour"
+
+    def newest(columns: str, source: str) -> str:
+        return f"SELECT DISTINCT ON ({grain}) {grain}, {columns} FROM {source} WHERE date >= DATE '{since}' ORDER BY created_at DESC"
+
+    conditions = "temperature_2m, relative_humidity_2m, precipitation, weather_code"
+    return {
+        "numbered_weather": f"SELECT * REPLACE (CAST(hour AS INT) AS hour) FROM {weather} WHERE {place}",
+        "targets": f"SELECT * RENAME (prediction_date AS date, prediction_hour AS hour) FROM {runs}",
+        "shown_reading": newest("actual_power, supply_capacity", readings),
+        "shown_weather": newest(conditions, "numbered_weather"),
+        "shown_forecast": newest("predicted_power_kwh", "targets"),
+    }, _DASHBOARD.replace("GRAIN", grain)
+
+
+_AREA_VIEWS, _AREA_DASHBOARD = _dashboard_sql("readings", "weather", "predictions", place="prefecture = 'view'")
+_WEEK_VIEWS, _WEEK_DASHBOARD = _dashboard_sql(
+    "readings", "weather", "predictions", since="2024-01-24", place="prefecture = 'view'"
+)
+_SITE_VIEWS, _SITE_DASHBOARD = _dashboard_sql("site_energy", "site_weather", "site_predictions", key="user_id, ")
 
 
-@query(
-    over(
-        "readings weather calendar predictions",
-        _DASHBOARD.format(keys="", w="", p="", rate=_RATE),
-        latest_energy=_latest("readings", "date, hour"),
-        latest_weather=_latest("weather", "date, hour", "WHERE prefecture = 'view'"),
-        latest_predictions=_latest("predictions", "prediction_date, prediction_hour"),
-    )
-)
+@query(over("readings weather calendar predictions", _AREA_DASHBOARD, **_AREA_VIEWS))
 def dashboard_full(spark, folder):
     """Readings come in many versions; the latest of each hour counts."""
     return dashboard(
@@ -144,17 +151,7 @@ def dashboard_full(spark, folder):
     )
 
 
-@query(
-    over(
-        "readings weather calendar predictions",
-        _DASHBOARD.format(keys="", w="", p="", rate=_RATE),
-        latest_energy=_latest("readings", "date, hour", "WHERE date >= DATE '2024-01-24'"),
-        latest_weather=_latest("weather", "date, hour", "WHERE prefecture = 'view' AND date >= DATE '2024-01-24'"),
-        latest_predictions=_latest(
-            "predictions", "prediction_date, prediction_hour", "WHERE prediction_date >= DATE '2024-01-24'"
-        ),
-    )
-)
+@query(over("readings weather calendar predictions", _WEEK_DASHBOARD, **_WEEK_VIEWS))
 def dashboard_incremental(spark, folder):
     return dashboard(
         adapters.readings(spark, folder),
@@ -166,17 +163,7 @@ def dashboard_incremental(spark, folder):
     )
 
 
-@query(
-    over(
-        "site_energy site_weather calendar site_predictions",
-        _DASHBOARD.format(
-            keys="e.user_id,", w="AND w.user_id = e.user_id", p="AND p.user_id = e.user_id", rate=_RATE
-        ),
-        latest_energy=_latest("site_energy", "user_id, date, hour"),
-        latest_weather=_latest("site_weather", "user_id, date, hour"),
-        latest_predictions=_latest("site_predictions", "user_id, prediction_date, prediction_hour"),
-    )
-)
+@query(over("site_energy site_weather calendar site_predictions", _SITE_DASHBOARD, **_SITE_VIEWS))
 def dashboard_by_site(spark, folder):
     keys = ["user_id"]
     return dashboard(
@@ -230,20 +217,19 @@ PROCESSES = {
 
 
 def _status_sql() -> str:
-    def pick(column: str, process: str) -> str:
-        return f"MAX(CASE WHEN process_type = '{process}' AND rn = 1 THEN {column} END)"
-
-    parts = []
-    for name, process in PROCESSES.items():
-        status = pick("status", process)
-        parts += [
-            f"CASE {status} WHEN 'SUCCESS' THEN 'OK' WHEN 'FAILED' THEN 'ERROR' ELSE 'WARNING' END AS {name}_status",
-            f"{pick('error_message', process)} AS {name}_message",
-            f"{pick('seconds', process)} AS {name}_duration_seconds",
-        ]
-    return f"""SELECT {', '.join(parts)}, coalesce((SELECT status FROM newest), 'WARNING') AS data_quality_status,
-      (SELECT issue_detail FROM newest) AS data_quality_message, CAST(NULL AS DOUBLE) AS data_quality_duration_seconds
-      FROM ranked"""
+    newest = ", ".join(
+        f"arg_max(run, started_at) FILTER (WHERE process_type = '{process}') AS {name}"
+        for name, process in PROCESSES.items()
+    )
+    shown = ", ".join(
+        f"""CASE {name}.status WHEN 'SUCCESS' THEN 'OK' WHEN 'FAILED' THEN 'ERROR' ELSE 'WARNING' END AS {name}_status,
+        {name}.message AS {name}_message, {name}.seconds AS {name}_duration_seconds"""
+        for name in PROCESSES
+    )
+    return f"""SELECT {shown}, coalesce(finding.status, 'WARNING') AS data_quality_status,
+        finding.issue_detail AS data_quality_message, CAST(NULL AS DOUBLE) AS data_quality_duration_seconds
+      FROM (SELECT {newest} FROM runs),
+        (SELECT arg_max(f, (check_timestamp, rank, check_type, check_target)) AS finding FROM graded f)"""
 
 
 @query(
@@ -251,10 +237,10 @@ def _status_sql() -> str:
         "energy weather run_log",
         _status_sql(),
         **CHECK_VIEWS,
-        newest="""SELECT * FROM findings WHERE data_type = 'power' ORDER BY check_timestamp DESC,
-          CASE status WHEN 'ERROR' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END DESC, check_type DESC, check_target DESC LIMIT 1""",
-        ranked="""SELECT *, date_diff('microsecond', started_at, completed_at) / 1000000.0 AS seconds,
-          ROW_NUMBER() OVER (PARTITION BY process_type ORDER BY started_at DESC) AS rn
+        graded="""SELECT *, list_position(['OK', 'WARNING', 'ERROR'], status) AS rank FROM findings
+          WHERE data_type = 'power'""",
+        runs="""SELECT process_type, started_at, struct_pack(status := status, message := error_message,
+          seconds := date_diff('microsecond', started_at, completed_at) / 1000000.0) AS run
           FROM run_log WHERE date >= DATE '2024-01-29'""",
     )
 )

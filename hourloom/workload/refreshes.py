@@ -189,14 +189,13 @@ def snapshot_replace(spark, folder):
 @query(
     over(
         "energy weather calendar predictions",
-        """SELECT e.date, e.hour, e.actual_power, e.supply_capacity, p.predicted_power_kwh AS predicted_power,
-          w.temperature_2m, c.day_of_week, p.predicted_power_kwh - e.actual_power AS difference
-        FROM energy e LEFT JOIN weather w ON e.date = w.date AND e.hour = CAST(w.hour AS INT) AND w.prefecture = 'view'
-        LEFT JOIN calendar c ON e.date = c.date LEFT JOIN latest p
-          ON e.date = p.prediction_date AND e.hour = p.prediction_hour AND p.rn = 1
-        WHERE e.date < DATE '2024-01-21'""",
-        latest="""SELECT *, ROW_NUMBER() OVER (PARTITION BY prediction_date, prediction_hour
-          ORDER BY created_at DESC) AS rn FROM predictions""",
+        """SELECT date, hour, actual_power, supply_capacity, predicted_power_kwh AS predicted_power, temperature_2m,
+          day_of_week, predicted_power_kwh - actual_power AS difference
+        FROM energy LEFT JOIN area USING (date, hour) LEFT JOIN calendar USING (date) LEFT JOIN newest USING (date, hour)
+        WHERE date < DATE '2024-01-21'""",
+        area="SELECT date, CAST(hour AS INT) AS hour, temperature_2m FROM weather WHERE prefecture = 'view'",
+        newest="""SELECT prediction_date AS date, prediction_hour AS hour,
+          arg_max(predicted_power_kwh, created_at) AS predicted_power_kwh FROM predictions GROUP BY ALL""",
     )
 )
 def historical_load(spark, folder):

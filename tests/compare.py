@@ -1,6 +1,6 @@
 """Run a query and its SQL side by side, and say how the results differ.
 
-    python tests/compare.py [--sf 0.01] [name ...]
+    python tests/compare.py [--sf 0.01] [--set spark.sql.ansi.enabled=false] [name ...]
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
-    parser.add_argument("--zone", help="session time zone")
+    parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", help="session setting")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
@@ -91,8 +91,8 @@ def main() -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if args.zone:
-        spark.conf.set("spark.sql.session.timeZone", args.zone)
+    for setting in args.set:
+        spark.conf.set(*setting.split("=", 1))
     connection = connect(folder)
     queries, sql = entry.queries(), entry.oracle_sql()
     bad = 0

@@ -81,6 +81,14 @@ def test_a_window_can_be_emptied(spark):
     assert _content(table) == _want(lambda d, s: d < 7, [])
 
 
+def test_a_table_without_rows_can_be_filled_again(spark):
+    table = _table(spark)
+    table.replace_window(_old(spark).where("v > 99"), D(2024, 1, 1))
+    assert not table.exists()
+    assert table.replace_loaded_range(_rows(spark, [(D(2024, 1, 4), "a", 100)])) == Refreshed(0, 1)
+    assert _content(table) == [(4, "a", 100)]
+
+
 def test_a_batch_may_come_from_the_table_itself(spark):
     table = _table(spark)
     table.replace_window(table.read().where("date >= '2024-01-09'").withColumn("v", F.col("v") + 1), D(2024, 1, 9))
