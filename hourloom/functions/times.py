@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,11 @@ def today_in(zone: str = "Asia/Tokyo") -> Column:
     return F.convert_timezone(None, F.lit(zone), F.localtimestamp()).cast("date")
 
 
+def current_day(spark: SparkSession, zone: str = "Asia/Tokyo") -> dt.date:
+    """``today_in`` as a value, to be passed as ``as_of``."""
+    return spark.range(1).select(today_in(zone).alias("day")).first()["day"]
+
+
 def days_before(as_of: dt.date | str, n: int) -> Column:
     return F.date_sub(day(as_of), n)
 

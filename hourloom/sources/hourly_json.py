@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourloom.sources.filenames import PREFECTURES, parse_file_name
+from hourloom.sources.sectioned import unpack
+
 # The variables of a document and their types.
 VARIABLES = {
     "temperature_2m": "double",
@@ -33,8 +36,9 @@ def _schema(variables: dict[str, str]) -> str:
 
 def _document(documents: DataFrame, variables: dict[str, str]) -> DataFrame:
     parsed = F.from_json("text", _schema(variables), {"columnNameOfCorruptRecord": "_bad"})
-    return documents.select("path", "text", parsed.alias("doc")).select(
-        "path",
+    carried = [c for c in documents.columns if c != "text"]
+    return documents.select(*carried, parsed.alias("doc")).select(
+        *carried,
         (F.col("doc").isNull() | F.col("doc._bad").isNotNull()).alias("bad"),
         F.col("doc.hourly").alias("hourly"),
     )
@@ -63,7 +67,7 @@ def _hours() -> Column:
 
 
 def extract_hourly(documents: DataFrame, variables: dict[str, str] = VARIABLES) -> DataFrame:
-    """``(path, reason, rows)`` per document.
+    """``reason`` and ``rows`` per document, in place of its text.
 
     Lengths are compared before the arrays are zipped, since zipping pads short arrays
     with NULL. The reason names the arrays that do not fit.
@@ -88,7 +92,8 @@ def extract_hourly(documents: DataFrame, variables: dict[str, str] = VARIABLES)
             *[r[v].alias(v) for v in variables],
         ),
     )
-    return _document(documents, variables).select("path", reason.alias("reason"), rows.alias("rows"))
+    carried = [c for c in documents.columns if c != "text"]
+    return _document(documents, variables).select(*carried, reason.alias("reason"), rows.alias("rows"))
 
 
 def with_key(rows: DataFrame, name: str, value: str | Column) -> DataFrame:
@@ -102,6 +107,45 @@ def on_date(rows: DataFrame, date_filter=None) -> DataFrame:
     return rows if date_filter is None else rows.where(F.col("date") == F.lit(date_filter).cast("date"))
 
 
+def convert_documents(
+    documents: DataFrame, date_filter=None, prefectures: Sequence[str] = PREFECTURES, max_parts: int = 3
+) -> DataFrame:
+    """``(path, output, prefecture, reason, rows)``: documents named after their prefecture.
+
+    ``output`` is what the converted file is called. Rows of other dates than
+    ``date_filter`` are left out; a document left without rows is neither good nor bad.
+    """
+    named = parse_file_name(documents, "path", prefectures, max_parts)
+    extracted = extract_hourly(named)
+    rows = F.col("rows")
+    if date_filter is not None:
+        rows = F.filter(rows, lambda r: r["date"] == F.lit(date_filter).cast("date"))
+    output = F.concat_ws("_", "prefecture", F.col("year").cast("string"), F.date_format("file_date", "MMdd"))
+    return extracted.select(
+        "path",
+        F.when(F.col("name_error").isNull(), output).alias("output"),
+        "prefecture",
+        F.coalesce("name_error", "reason").alias("reason"),
+        rows.alias("rows"),
+    )
+
+
+def converted_rows(converted: DataFrame) -> DataFrame:
+    """Rows to be written, one file per ``output``."""
+    return unpack(converted).drop("path")
+
+
+def conversion_report(converted: DataFrame) -> DataFrame:
+    """``(path, status, output, error)`` of documents that gave rows or failed."""
+    failed = F.col("reason").isNotNull()
+    line = F.struct(
+        F.when(failed, "failed").otherwise("success").alias("status"),
+        F.when(~failed, F.col("output")).alias("output"),
+        F.col("reason").alias("error"),
+    )
+    return converted.select("path", F.inline(F.when(failed | (F.size("rows") > 0), F.array(line))))
+
+
 def validate_documents(documents: DataFrame, variables: dict[str, str] = VARIABLES) -> DataFrame:
     """``(path, valid, issues, total_hours)``; the first kind of problem found is reported.
 

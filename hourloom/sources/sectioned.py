@@ -62,13 +62,17 @@ def _strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def _split_line(line: Column) -> Column:
+    return F.struct((line == "").alias("blank"), F.split(line, ",", -1).alias("parts"))
+
+
 def _parse_line(line: Column) -> Column:
-    parts = F.split(line, ",", -1)
+    parts = line["parts"]
     day = _field(parts, 0)
     hour = F.split_part(_field(parts, 1), F.lit(":"), F.lit(1))
     enough = F.size(parts) >= 6
     return F.struct(
-        (line == "").alias("blank"),
+        line["blank"].alias("blank"),
         enough.alias("enough"),
         F.when(enough, day).alias("date_text"),
         F.when(day.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.try_to_date(day, "y/M/d")).alias("date"),
@@ -98,7 +102,10 @@ def _section(texts: DataFrame, marker: str, hours: int) -> DataFrame:
     return (
         texts.select("path", lines.alias("lines"), at.alias("at"))
         .select("path", "at", F.slice("lines", (F.col("at") + 1).cast("int"), hours).alias("block"))
-        .select("path", "at", F.transform("block", lambda x: _parse_line(_strip(x))).alias("parsed"))
+        # One function per step, so that each value is worked out once per line.
+        .select("path", "at", F.transform("block", _strip).alias("block"))
+        .select("path", "at", F.transform("block", _split_line).alias("block"))
+        .select("path", "at", F.transform("block", _parse_line).alias("parsed"))
     )
 
 
@@ -164,12 +171,16 @@ def extract_lenient(texts: DataFrame, marker: str = MARKER, hours: int = HOURS)
 
 
 def unpack(extracted: DataFrame, fail: bool = False) -> DataFrame:
-    """The rows of all good files. With ``fail``, a bad file fails the query instead."""
-    good = F.col("reason").isNull()
+    """The rows of all good files. With ``fail``, a bad file fails the query instead.
+
+    Bad files are emptied inside the generator. As a filter the condition would be pushed
+    below the extraction, and every file parsed again for each of its terms.
+    """
+    rows = F.when(F.col("reason").isNull(), F.col("rows"))
     if fail:
-        message = F.concat("path", F.lit(": "), "reason")
-        good = F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return extracted.where(good).select("path", F.inline("rows"))
+        rows = rows.otherwise(F.raise_error(F.concat("path", F.lit(": "), "reason")))
+    carried = [c for c in extracted.columns if c not in ("reason", "rows")]
+    return extracted.select(*carried, F.inline(rows))
 
 
 def outcome_per_file(extracted: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourloom.functions.measures import value_map
 from hourloom.operators.refresh import DatedTable, append, write_partitioned
 from hourloom.plans.features import power_and_weather
 from hourloom.shared import new_folder
@@ -209,6 +210,59 @@ def payload_validation(spark, folder):
     return hourly_json.validate_documents(_documents(spark, folder).select("path", "text"))
 
 
+# Sites as prefectures; one of them is not in the list of prefectures.
+_SITE_NAMES = {"view": "chiba", "click": "tokyo", "purchase": "gunma", "signup": "saitama", "error": "osaka"}
+
+
+def _named_documents(spark: SparkSession, folder: str) -> DataFrame:
+    day = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"^(\d{4})-(\d{2})-(\d{2})$", "$1_$2$3")
+    name = F.concat(value_map(F.col("site"), _SITE_NAMES), F.lit("_"), day, F.lit(".json"))
+    return _documents(spark, folder).select(name.alias("path"), "text")
+
+
+_NAMED = f"""
+SELECT *, CASE site {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _SITE_NAMES.items())} END AS prefecture,
+  strftime(date, '_%Y_%m%d') AS suffix, site = 'error' OR short OR absent OR cut AS bad FROM flaws"""
+
+
+@query(
+    over(
+        "weather",
+        """SELECT n.prefecture || suffix AS output, n.prefecture, w.date, hour, temperature_2m, relative_humidity_2m,
+          precipitation, weather_code
+        FROM named n JOIN weather w ON w.prefecture = n.site AND w.date = n.date WHERE NOT bad""",
+        flaws=_FLAWS,
+        named=_NAMED,
+    )
+)
+def documents_converted(spark, folder):
+    """One CSV folder per converted document, read back."""
+    path = new_folder(spark, "converted")
+    rows = hourly_json.converted_rows(hourly_json.convert_documents(_named_documents(spark, folder)))
+    export_by_key(rows, "output", path)
+    return spark.read.schema(rows.schema).option("header", "true").csv(path)
+
+
+@query(
+    over(
+        "weather",
+        """SELECT prefecture || suffix || '.json' AS path, if(bad, 'failed', 'success') AS status,
+          if(bad, NULL, prefecture || suffix) AS output,
+          CASE WHEN site = 'error' THEN 'unknown prefecture' WHEN cut THEN 'not valid JSON'
+            WHEN absent THEN 'expected ' || n || ' values, got ' || if(short, 'precipitation: ' || (n - 1) || ', ', '')
+              || 'weather_code: 0'
+            WHEN short THEN 'expected ' || n || ' values, got precipitation: ' || (n - 1) END AS error
+        FROM named WHERE bad OR date = DATE '2024-01-15'""",
+        flaws=_FLAWS,
+        named=_NAMED,
+    )
+)
+def conversion_report(spark, folder):
+    """With a date filter: documents of other days are not reported unless they are bad."""
+    converted = hourly_json.convert_documents(_named_documents(spark, folder), dt.date(2024, 1, 15))
+    return hourly_json.conversion_report(converted)
+
+
 _NAME_PLACES = [*PREFECTURES, "osaka", ""]
 
 

@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourloom.operators.refresh import append
 from hourloom.plans.accuracy import prediction_accuracy
 from hourloom.plans.dashboard import dashboard
 from hourloom.plans.features import future_features, ml_features
-from hourloom.plans.forecast import forecast, same_hour_last_week
+from hourloom.plans.forecast import as_prediction_rows, forecast, same_hour_last_week
 from hourloom.plans.quality import power_period, power_rules, quality_checks
 from hourloom.plans.status import system_status
+from hourloom.shared import new_folder
 from hourloom.workload import adapters
 from hourloom.workload.adapters import AS_OF
 from hourloom.workload.registry import query
@@ -349,3 +351,23 @@ def forecast_of_lags(spark, folder):
     cal = adapters.calendar(spark, folder)
     history, future = _site_history(spark, folder, cal), site_future(spark, folder, cal)
     return forecast(_blend, history, future, START, ["user_id"])
+
+
+@query(
+    over(
+        "site_energy",
+        """SELECT s.user_id, 'run' AS execution_id, DATE '2024-01-16' AS prediction_run_date, s.date AS prediction_date,
+          s.hour AS prediction_hour, e.actual_power AS predicted_power_kwh, TIMESTAMP '2024-01-16 07:01:00' AS created_at
+        FROM spine s LEFT JOIN site_energy e ON e.user_id = s.user_id AND e.hour = s.hour
+          AND e.date = s.date - CASE WHEN t < 7 THEN 7 ELSE 14 END""",
+        spine=_SPINE,
+    )
+)
+def forecast_published(spark, folder):
+    """A forecast appended to the prediction table, partitioned by run date."""
+    path = new_folder(spark, "predictions")
+    rows = as_prediction_rows(
+        forecast_seasonal_naive(spark, folder), "run", dt.datetime(2024, 1, 16, 7, 1), ["user_id"]
+    )
+    append(rows, path, ["prediction_run_date"])
+    return spark.read.parquet(path)

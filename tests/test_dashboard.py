@@ -86,3 +86,4 @@ def test_measures(spark):
     assert row["at"] == T(2024, 1, 30, 13)
     tokyo = (dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=9)).date()
     assert abs((row["today"] - tokyo).days) <= 1
+    assert abs((times.current_day(spark) - tokyo).days) <= 1

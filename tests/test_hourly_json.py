@@ -106,3 +106,40 @@ def test_file_names(spark):
 def test_keys_are_brought_to_one_spelling(spark):
     df = spark.createDataFrame([("千葉県",), ("chiba",), ("tokyo",)], "k string")
     assert [r[0] for r in df.select(normalize_key(df["k"], {"千葉県": "chiba"})).collect()] == ["chiba", "chiba", "tokyo"]
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    (tmp_path / "tokyo_2024.json").write_text(_doc())
+    documents = hourly_json.read_documents(spark, str(tmp_path))
+    plans = [
+        sectioned.unpack(hourly_json.extract_hourly(documents)),
+        hourly_json.validate_documents(documents),
+        hourly_json.converted_rows(hourly_json.convert_documents(documents, "2024-10-01")),
+        hourly_json.conversion_report(hourly_json.convert_documents(documents, "2024-10-01")),
+    ]
+    assert [_optimized(df).lower().count("from_json") for df in plans] == [1, 1, 1, 1]
+    assert [df.count() for df in plans] == [2, 1, 2, 1]
+
+
+def test_conversion_names_outputs_and_reports(spark, tmp_path):
+    (tmp_path / "tokyo_2024_1001.json").write_text(_doc())
+    (tmp_path / "osaka_2024.json").write_text(_doc())
+    (tmp_path / "chiba_2024.json").write_text(_doc(precipitation=[1.0]))
+    documents = hourly_json.read_documents(spark, str(tmp_path))
+    converted = hourly_json.convert_documents(documents)
+    assert {(r["output"], r["prefecture"], r["hour"]) for r in hourly_json.converted_rows(converted).collect()} == {
+        ("tokyo_2024_1001", "tokyo", "00"),
+        ("tokyo_2024_1001", "tokyo", "01"),
+    }
+    report = _named(hourly_json.conversion_report(converted), "error")
+    assert report == {
+        "tokyo_2024_1001": None,
+        "osaka_2024": "unknown prefecture",
+        "chiba_2024": "expected 2 values, got precipitation: 1",
+    }
+    other_day = hourly_json.conversion_report(hourly_json.convert_documents(documents, "2024-10-02"))
+    assert set(_named(other_day, "status").values()) == {"failed"}
