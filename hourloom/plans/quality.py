@@ -92,7 +92,7 @@ def quality_checks(
 
     The rows of the period are read once and counted per rule. Repeated rows make the
     missing count negative, which is a warning. With ``by`` there is one set of findings
-    per group.
+    per group that has any row in the period.
     """
     first, last = period
     expected = HOURS_PER_DAY * ((last - first).days + 1)
