@@ -97,12 +97,13 @@ def forecast(
     A lag is the forecast of that day if there is one, else its reading, else missing.
     The business-day lag looks back up to 20 days for the nearest business day that has
     a forecast or a reading. Every key in ``future`` must have all hours of all days,
-    once each, or the query fails. (keys, date, hour) must be unique in ``history``.
+    once each, and ``history`` no hour twice, or the query fails.
     """
     rows = _ahead(future, as_of, keys, days).join(_past(history, as_of, keys), [*keys, "hour"], "left")
     # The steps are written as SQL text: the same plan, built in far fewer calls.
     rows = rows.selectExpr("*", "named_struct('step', CAST(NULL AS INT), 'value', CAST(NULL AS DOUBLE)) AS __work")
-    kept = [*keys, "hour", "__ahead", "__past"]
+    series = [f"`{k}`" for k in keys]
+    kept = [*series, "hour", "__ahead", "__past"]
     for step in range(days):
         done = predictor(rows.selectExpr(*kept, "__work", *_features_of(step)))
         value = "CAST(prediction AS DOUBLE)"
@@ -115,7 +116,7 @@ def forecast(
         f"named_struct('prediction_date', DATE '{as_of + dt.timedelta(days=i)}', 'prediction', __p{i})"
         for i in range(days)
     )
-    return rows.selectExpr(*keys, "hour AS prediction_hour", f"inline(array({dated}))").select(
+    return rows.selectExpr(*series, "hour AS prediction_hour", f"inline(array({dated}))").select(
         *keys, "prediction_date", "prediction_hour", "prediction"
     )
 
@@ -127,7 +128,18 @@ def _past(history: DataFrame, as_of: dt.date, keys: Sequence[str]) -> DataFrame:
     working = ~F.col("is_weekend") & ~F.col("is_holiday")
     days = [F.max(F.when(back == n, F.col("actual_power"))) for n in range(1, 8)]
     work = F.min(F.when(working, F.struct(back.alias("back"), F.col("actual_power").alias("value"))))
-    return near.groupBy(*keys, "hour").agg(F.struct(F.array(*days).alias("days"), work.alias("work")).alias("__past"))
+    # Each day has its own bit: their sum is their union as long as no day comes twice.
+    bit = F.expr(f"shiftleft(1L, datediff(DATE '{as_of}', date))")
+    complaint = F.raise_error(F.lit("the history holds an hour more than once"))
+    return (
+        near.groupBy(*keys, "hour")
+        .agg(
+            F.struct(F.array(*days).alias("days"), work.alias("work")).alias("__past"),
+            (F.sum(bit) == F.bit_or(bit)).alias("__once"),
+        )
+        .where(F.when(F.col("__once"), F.lit(True)).otherwise(complaint.cast("boolean")))
+        .drop("__once")
+    )
 
 
 _AHEAD_COLUMNS = (

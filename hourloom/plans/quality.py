@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourloom.functions.measures import finding_grade
 from hourloom.functions.times import moment
 
 # Counts below these are a warning, from these on an error.
@@ -133,14 +134,12 @@ def quality_checks(
 
 
 def _finding(check_type: str, target: str, count: Column, text: Column) -> Column:
-    limit = WARNING_BELOW[check_type]
-    status = F.when(count == 0, "OK").when(count < limit, "WARNING").otherwise("ERROR")
     return F.struct(
         F.lit(check_type).alias("check_type"),
         F.lit(target).alias("check_target"),
         count.cast("long").alias("issue_count"),
         text.alias("issue_detail"),
-        status.alias("status"),
+        finding_grade(count, WARNING_BELOW[check_type]).alias("status"),
     )
 
 

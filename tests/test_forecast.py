@@ -125,6 +125,13 @@ def test_a_whole_missing_series_fails(spark, cal):
         forecast(same_hour_last_week, _history(spark, cal, _history_rows()), future, AS_OF, ["site"]).collect()
 
 
+def test_a_repeated_reading_fails(spark, cal):
+    rows = _history_rows()
+    history = _history(spark, cal, [*rows, (1, _day(-9), 4, 1.0)])
+    with pytest.raises(Exception, match="more than once"):
+        forecast(same_hour_last_week, history, _future(spark, cal), AS_OF, ["site"]).collect()
+
+
 def test_no_key_column(spark, cal):
     history = _history(spark, cal, _history_rows()).where("site = 1").drop("site")
     future = _future(spark, cal).where("site = 1").drop("site")

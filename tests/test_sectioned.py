@@ -116,3 +116,9 @@ def test_the_session_setting_is_put_back(spark, texts):
 def test_nothing_is_shuffled(texts):
     plan = sectioned.unpack(sectioned.extract_strict(texts))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_reading_from_a_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(FILES["valid"].encode("shift_jis"))
+    for strict in (True, False):
+        assert sectioned.unpack(sectioned.read_sectioned(spark, str(tmp_path), strict)).count() == 24
