@@ -13,16 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Folders of local-mode applications that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="hourloom-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="hourloom-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

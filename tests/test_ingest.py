@@ -1,5 +1,9 @@
 import datetime as dt
 import json
+import os
+from types import SimpleNamespace
+
+import pytest
 
 from hourloom.operators.refresh import DatedTable
 from hourloom.shared import new_folder, shared_root
@@ -38,8 +42,6 @@ def _document(folder, name, days, temperature):
 
 
 def test_later_documents_win_within_one_run(spark, tmp_path):
-    import os
-
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     table = DatedTable(spark, new_folder(spark, "weather"))
@@ -55,6 +57,21 @@ def test_later_documents_win_within_one_run(spark, tmp_path):
     assert got == [("chiba", 1, 1.0)] * 2 + [("chiba", 2, 2.0)] * 2 + [("chiba", 4, 2.0)] * 2 + [("tokyo", 2, 9.0)]
 
 
+class _Session:
+    """What ``shared_root`` looks at in a session that names no folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+
+def test_a_session_without_a_folder():
+    local = _Session("local[2]")
+    assert shared_root(local) == shared_root(local) and os.path.isdir(shared_root(local))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(_Session("yarn"))
+
+
 def test_folders_come_from_the_session(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
