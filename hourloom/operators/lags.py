@@ -82,17 +82,25 @@ def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
     def at(slot: int, column: str):
         return F.max(F.when(F.col("slot") == slot, F.col(column)))
 
-    grain = [*keys, date]
-    repeated = F.greatest(*[F.count_if(F.col("slot") == i) for i in range(len(lags) + 1)])
-    gathered = sent.groupBy(*keys, F.col("target").alias(date)).agg(
-        *[at(0, c).alias(c) for c in others],
-        *[at(i, value).alias(name) for i, name in enumerate(lags, start=1)],
-        F.count_if(F.col("slot") == 0).alias("__own"),
-        repeated.alias("__most"),
+    # Each slot has its own bit: their sum is their union unless one came twice.
+    bit = F.expr("shiftleft(1L, slot)")
+    # Rows of a unique grain cannot be combined before the shuffle, so they are shuffled
+    # as they are, which is narrower than partial aggregates.
+    gathered = (
+        sent.repartition(*keys, "target")
+        .groupBy(*keys, F.col("target").alias(date))
+        .agg(
+            *[at(0, c).alias(c) for c in others],
+            *[at(i, value).alias(name) for i, name in enumerate(lags, start=1)],
+            F.sum(bit).alias("__sum"),
+            F.bit_or(bit).alias("__seen"),
+        )
     )
-    broken = F.col("__most") > 1
+    grain = [*keys, date]
+    broken = F.col("__sum") != F.col("__seen")
     for c in grain:
         broken = broken | F.col(c).isNull()
     complaint = F.raise_error(F.lit(f"rows are not unique and non-null on ({', '.join(grain)})"))
-    checked = gathered.where(F.when(broken, complaint.cast("boolean")).otherwise(F.col("__own") == 1))
+    own = F.col("__seen").bitwiseAND(1) == 1
+    checked = gathered.where(F.when(broken, complaint.cast("boolean")).otherwise(own))
     return checked.select(*df.columns, *lags)
