@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from hourloom.llm.common import text_slices
+from hourloom.llm.common import map_batches, text_slices
 
 #: Words of at most so many bytes are merged many at a time.
 SHORT = 32
@@ -249,9 +249,7 @@ def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
 
 
 def _with(df: DataFrame, name: str, kind: T.DataType, drop: str) -> tuple[list[str], T.StructType]:
-    if name in df.columns:
-        raise ValueError(f"column {name} exists already")
-    kept = [f for f in df.schema.fields if f.name != drop]
+    kept = [f for f in df.schema.fields if f.name not in (drop, name)]
     return [f.name for f in kept], T.StructType([*kept, T.StructField(name, kind)])
 
 
@@ -260,7 +258,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
     Null and empty texts have no ids. Special tokens in a text become their ids, as the
     tokenizers library has it. Rows stay apart: repeated rows give repeated rows, other
-    columns pass through, an empty table stays empty. ``ids`` must not be a column yet.
+    columns pass through, an empty table stays empty. A column named ``ids`` is replaced.
     """
     vocabulary = Vocabulary(docs.sparkSession, path)
     kept, schema = _with(docs, ids, T.ArrayType(T.IntegerType()), text)
@@ -272,14 +270,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 rest = [batch.column(c).slice(at, len(texts)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*rest, id_lists(bpe.many(texts))], [*kept, ids])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The rows with the text of their ids: tokens joined by a space, special ones included.
 
     Null and empty lists give empty texts; ids without a token are left out. Other columns
-    pass through, ``ids`` too; ``text`` must not be a column yet.
+    pass through, ``ids`` too; a column named ``text`` is replaced.
     """
     vocabulary = Vocabulary(rows.sparkSession, path)
     kept, schema = _with(rows, text, T.StringType(), "")
@@ -292,4 +290,4 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
                 lists = pa.array(part.column(ids).to_pylist(), pa.list_(pa.int32())) if part.column(ids).null_count else part.column(ids)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], bpe.decode(lists)], [*kept, text])
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import SPACES, stored
+from hourloom.llm.common import SPACES, map_batches, stored
 
 #: Digests a bucket is meant to hold; the number of buckets follows the rows.
 BUCKET_DIGESTS = 500_000
@@ -181,14 +181,15 @@ def maintain(index: DataFrame | None, added: DataFrame, deleted: DataFrame | Non
         F.col("doc_id").alias("keep_id"),
         F.col("n_chars").alias("keep_chars"),
         F.lit(1).cast("long").alias("group_size"),
-    ).mapInArrow(_summed, wide)
+    )
+    rows = map_batches(rows, _summed, wide)
     if index is not None:
         rows = rows.unionByName(index.withColumn("op", F.lit(_LOAD)))
     if deleted is not None:
         gone = deleted.select("digest", F.lit(_DELETE).alias("op"))
         rows = rows.unionByName(gone, allowMissingColumns=True)
     dealt = rows.repartition(buckets, F.pmod(F.xxhash64("digest"), F.lit(buckets)))
-    return dealt.sortWithinPartitions("op").mapInArrow(_indexed, _INDEX)
+    return map_batches(dealt.sortWithinPartitions("op"), _indexed, _INDEX)
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int | None = None) -> DataFrame:

@@ -58,7 +58,7 @@ def _signature(e: DataFrame) -> tuple[int, int | None]:
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Components and links among nodes that share a bucket.
 
-    buckets: (key, node), node a long; verify: pairs (a, b) to those that are links.
+    buckets: distinct (key, node), node a long, from a stored table; verify: pairs (a, b) to those that are links.
     Returns (node, component) for linked nodes, and the links found.
 
     Every bucket sends its smallest member against all others. Where that does not make
@@ -68,8 +68,8 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     a component are not listed, and a bucket never makes more than a bounded number of
     rows per member and round.
     """
-    buckets = stored(buckets.distinct(), "buckets")
     heads = stored(buckets.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "heads")
+    buckets = stored(buckets.join(heads.select("key"), "key"), "buckets")
     pairs = (
         buckets.join(heads.select("key", "a"), "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     )

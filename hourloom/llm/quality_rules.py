@@ -31,15 +31,21 @@ THRESHOLDS: tuple[tuple[str, float | None, float | None], ...] = (
     ("dup_line_share", None, 0.5),
 )
 
+MEASURES = (
+    "_words _lines _windows _at word_chars n_symbols n_words n_stop_words n_lines n_dup_lines n_repeat_words "
+    "mean_word_length symbols_per_word stop_word_share repeat_word_share dup_line_share base_failed kept"
+).split()
+
 
 def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """The rows with the counts and ratios of their whole texts; a null text has no words.
 
     Three-word windows are compared by 64-bit hash within a text. Ratios of a text without
-    words, or without lines with words, are 0. New columns carry ``prefix``.
+    words, or without lines with words, are 0. New columns carry ``prefix``
+    and replace columns of the same name.
     """
     p = prefix
-    kept = [F.col(f"`{c}`") for c in docs.columns]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in {p + m for m in MEASURES}]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     df = docs.select(

@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import bpe, exact_dedup, packing, quality_rules, sharding
-from hourloom.llm.common import documents
+from hourloom.llm import (
+    bpe,
+    exact_dedup,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    toxicity,
+)
+from hourloom.llm.common import documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +43,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_dedup(documents(spark, folder))
+
+
 @query()
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary_path()
@@ -111,6 +126,24 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, folder))
 
 
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), labels(spark, folder))
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_classifier.classify(documents(spark, folder).select("doc_id", "text"))
+    return scored.select("doc_id", "score", "weak_label", (F.col("score") >= 0.5).alias("kept"))
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rest = line_dedup.line_dedup(documents(spark, folder).select("doc_id", "text"))
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    return rest.select("doc_id", lines.alias("n_lines"), "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
 

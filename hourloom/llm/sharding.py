@@ -62,18 +62,16 @@ def placement(spark: SparkSession, shards: list[str], slots: int = SLOTS) -> Dat
 def assign_shards(
     df: DataFrame, keys: list[str], shards: list[str], slots: int = SLOTS, slot: str = "slot", shard: str = "shard"
 ) -> DataFrame:
-    """The rows with their slot and shard; ``slot`` and ``shard`` must not be columns yet.
+    """The rows with their slot and shard; columns of these names are replaced.
 
     Equal keys, repeated rows included, meet in one shard; null keys are keys like others.
     The rows are not shuffled. An empty table stays empty.
     """
-    clash = {slot, shard} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
-    table = placement(df.sparkSession, shards, slots).toDF(slot, shard)
-    placed = df.withColumn(slot, slot_of([F.col(f"`{k}`") for k in keys], slots))
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    return placed.join(F.broadcast(table), slot).select(*columns, slot, shard)
+    table = placement(df.sparkSession, shards, slots).toDF("__slot", "__shard")
+    columns = [F.col(f"`{c}`") for c in df.columns if c not in (slot, shard)]
+    placed = df.select("*", slot_of([F.col(f"`{k}`") for k in keys], slots).alias("__slot"))
+    named = placed.join(F.broadcast(table), "__slot")
+    return named.select(*columns, F.col("__slot").alias(slot), F.col("__shard").alias(shard))
 
 
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
