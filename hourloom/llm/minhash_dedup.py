@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import map_batches, stored, text_slices
+from hourloom.llm.common import SPACES, map_batches, stored, text_slices
 from hourloom.llm.graph import link_buckets
 
 SHINGLE = 5
@@ -94,7 +94,7 @@ def set_key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.astype("<u8").tobytes())
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, collections array<bigint>"
+_SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, set_key binary, collections array<bigint>"
 _SETS = "set_key binary, shingles array<bigint>"
 
 
@@ -108,11 +108,12 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(at, len(texts)),
+                    batch.column("text_hash").slice(at, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_key", "collections"],
+                ["doc_id", "text_hash", "n_shingles", "set_key", "collections"],
             )
 
 
@@ -146,16 +147,17 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per row of the input.
+    """doc_id, n_shingles, component_id, kept, text_hash, group_id; one row per row of the input.
 
     A text with fewer than five words is one shingle. Without words, or null, it links
     with nothing: component_id is its own doc_id. Rows with equal sets are one class and
     always in one component, repeated rows too; each row that has the component's
     smallest doc_id is kept. A null doc_id is never the smallest while others are there.
-    Equal 128-bit set keys count as equal sets. Columns besides id and text are not read.
+    group_id numbers the components, null for texts without words; text_hash is the text's
+    xxhash64. Equal 128-bit set keys count as equal sets. Columns besides id and text are not read.
     """
     wanted = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signed = stored(map_batches(wanted, _signed, _SIGNED), "signed")
+    signed = stored(map_batches(wanted.withColumn("text_hash", F.xxhash64("text")), _signed, _SIGNED), "signed")
     full = signed.where("set_key IS NOT NULL")
     merged = full.groupBy("set_key").agg(F.min("doc_id").alias("low_id"), F.max("n_shingles").alias("n"))
     # Numbers given while the table is written, so they stay what they are.
@@ -188,9 +190,28 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", perc
     labels, _ = link_buckets(stored(table_keys(heads), "tables"), verify)
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    of_set = named.join(lowest, "component").select("set_key", "component_id")
+    of_set = named.join(lowest, "component").select("set_key", "component_id", F.col("component").alias("group_id"))
     return (
         signed.join(of_set, "set_key", "left")
         .withColumn("component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "group_id")
     )
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` less all but one of each component; texts without words all stay.
+
+    Of rows in a component that share its smallest id, one stays, that of the smallest
+    text_hash. Columns stay as they are.
+    """
+    found = near_dedup(docs, text, doc_id, percent).where("kept AND group_id IS NOT NULL")
+    first = found.groupBy("group_id").agg(F.min("text_hash").alias("__h"), F.min("doc_id").alias("__id"))
+    copies = found.groupBy("group_id", F.col("text_hash").alias("__h")).agg(F.count("*").alias("__n"))
+    stays = first.join(copies, ["group_id", "__h"]).groupBy("__id", "__h").agg(F.max("__n").alias("__n"))
+    body = F.btrim(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(SPACES))
+    keyed = docs.withColumn("__h", F.xxhash64(F.col(f"`{text}`")))
+    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("__id")) & (keyed["__h"] == stays["__h"])
+    rows = keyed.where(body != "").join(stays, same).drop(keyed["__h"]).drop("__id")
+    once = rows.where("__n = 1").select(*docs.columns)
+    repeated = rows.where("__n > 1").dropDuplicates([doc_id, "__h"]).select(*docs.columns)
+    return once.unionByName(repeated).unionByName(docs.where(body == ""))

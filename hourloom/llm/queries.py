@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hourloom.llm import (
     bpe,
     exact_dedup,
+    katz,
     line_dedup,
     minhash_dedup,
     packing,
@@ -131,6 +132,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), labels(spark, folder))
 
 
+@query()
+def op7_katz(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_of_folds(documents(spark, folder))
+
+
 @query()
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_classifier.classify(documents(spark, folder).select("doc_id", "text"))
