@@ -55,6 +55,24 @@ def _signature(e: DataFrame) -> tuple[int, int | None]:
     return row["n"], row["x"]
 
 
+def merged_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, component) after more links (a, b); only components that links join are worked on."""
+    if labels is None:
+        return stored(components(links), "labels")
+    left, right = labels.toDF("a", "ca"), labels.toDF("b", "cb")
+    edges = links.join(left, "a", "left").join(right, "b", "left")
+    edges = stored(
+        edges.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct(), "joined"
+    )
+    if edges.isEmpty():
+        return labels
+    moved = stored(components(edges), "moved")
+    new = moved.join(labels.select(F.col("component").alias("node")).distinct(), "node", "left_anti")
+    old = labels.join(moved.toDF("component", "to"), "component", "left")
+    old = old.select("node", F.coalesce("to", "component").alias("component"))
+    return stored(old.unionByName(new), "labels")
+
+
 def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Components and links among nodes that share a bucket.
 
@@ -75,9 +93,9 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     )
     tried = stored(pairs, "pairs")
     links = stored(verify(tried), "links")
-    labels = stored(components(links), "labels")
+    labels = merged_labels(None, links)
     rest = buckets.join(heads.where("n > 2").select("key"), "key")
-    rank, width = 1, 3
+    rank, width = 1, 15
     while True:
         named = rest.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
         open_keys = (
@@ -99,7 +117,7 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
         pairs = live.join(leaders, "key").where("node > a AND c <> ac").select("a", F.col("node").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
-        links = links.unionByName(stored(verify(pairs), "links"))
-        labels = stored(components(links), "labels")
+        more = stored(verify(pairs), "links")
+        links, labels = links.unionByName(more), merged_labels(labels, more)
         rest = live.select("key", "node")
-        rank, width = rank + width, min(2 * width, MOST_LEADERS)
+        rank, width = rank + width, MOST_LEADERS

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.common import SPACES, map_batches, stored, text_slices
-from hourloom.llm.graph import link_buckets
+from hourloom.llm.graph import merged_labels
 
 SHINGLE = 5
 COLLECTIONS, HASHES = 32, 3
@@ -146,6 +146,63 @@ def table_keys(classes: DataFrame) -> DataFrame:
     return both.select(F.xxhash64("a.i", "a.k", "b.i", "b.k").alias("key"), "node")
 
 
+def _judged(pairs: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
+    """(a, b, link, rest) of pairs (a, b, na, nb), on their full shingle sets.
+
+    rest are those shingles of b outside of a that a third set of the bucket, no smaller
+    than a, must share one of to link with b; see ``_linked``.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = nodes.join(classes, "node").select("node", "set_key", "low_id")
+    rows = wanted.join(asked.select("low_id").distinct(), wanted["doc_id"].eqNullSafe(F.col("low_id")), "left_semi")
+    sets = map_batches(rows.select("text"), _sets, _SETS).join(asked.select("node", "set_key"), "set_key")
+    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("s")), "sets")
+    both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+    counted = both.select(
+        "a", "b", "na", "nb", F.array_except("sb", "sa").alias("rest")
+    ).withColumn("common", F.col("nb") - F.size("rest"))
+    link = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
+    least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent)) - F.col("common")
+    first = F.when(link, F.size("rest")).otherwise(F.size("rest") - least + 1)
+    return counted.select("a", "b", link.alias("link"), F.slice("rest", F.lit(1), F.greatest(first, F.lit(0)).cast("int")).alias("rest"))
+
+
+def _linked(buckets: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the classes that link, from the buckets (key, node) they meet in.
+
+    The smallest set A of a bucket is compared with all others. Let B be one that does not
+    link with A, and C any other: C is no smaller than A, so a link of B and C asks for more
+    common shingles than B shares with A; some must lie outside of A. By the count that must,
+    the first few of B's shingles outside of A, in the order of their hashes, hold one of
+    them. So the sets of a bucket that are not yet one component meet again under these
+    shingles, in buckets without A, until none is left. No link between sets that met is
+    lost, and a bucket's pairs are never listed.
+    """
+    sizes = classes.select("node", "n")
+    buckets, labels = stored(buckets, "tables"), None
+    while True:
+        sized = buckets.join(sizes, "node")
+        heads = sized.groupBy("key").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("m"))
+        heads = heads.where("m > 1").select("key", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
+        pairs = sized.join(heads, "key").where("node <> a")
+        pairs = stored(pairs.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct(), "pairs")
+        judged = stored(_judged(pairs, classes, wanted, percent), "judged")
+        labels = merged_labels(labels, judged.where("link").select("a", "b"))
+        named = (
+            judged.join(labels.toDF("b", "cb"), "b", "left")
+            .join(labels.toDF("a", "ca"), "a", "left")
+            .select("a", "b", "rest", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+        )
+        apart = named.groupBy("a").agg(F.count("*").alias("m"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("x"))
+        named = named.join(apart.where("m > 1 AND x = 1").select("a"), "a")
+        meet = named.select(F.explode("rest").alias("s"), "a", F.col("b").alias("node"), F.col("cb").alias("c"))
+        meet = meet.select(F.xxhash64("a", "s").alias("key"), "node", "c")
+        shared = meet.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+        buckets = stored(meet.join(shared, "key").select("key", "node"), "tables")
+        if buckets.isEmpty():
+            return labels
+
+
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_hash, group_id; one row per row of the input.
 
@@ -170,24 +227,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", perc
         .agg(F.max("collections").alias("collections"))
     )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("na"))
-        near = pairs.join(sizes, "a").join(sizes.toDF("b", "nb"), "b")
-        near = near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        near = stored(near, "to-verify")
-        nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        asked = nodes.join(classes, "node").select("node", "set_key", "low_id")
-        rows = wanted.join(asked.select("low_id").distinct(), wanted["doc_id"].eqNullSafe(F.col("low_id")), "left_semi")
-        sets = map_batches(rows.select("text"), _sets, _SETS).join(asked.select("node", "set_key"), "set_key")
-        sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("s")), "sets")
-        both = (
-            near.join(sets.toDF("b", "sb"), "b")
-            .join(sets.toDF("a", "sa"), "a")
-            .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
-        )
-        return both.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-
-    labels, _ = link_buckets(stored(table_keys(heads), "tables"), verify)
+    labels = _linked(table_keys(heads), classes, wanted, percent)
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low_id").alias("component_id"))
     of_set = named.join(lowest, "component").select("set_key", "component_id", F.col("component").alias("group_id"))
