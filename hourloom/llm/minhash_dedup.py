@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ SHINGLE = 5
 COLLECTIONS, HASHES = 32, 3
 #: Links need 100 * intersection >= 75 * union.
 PERCENT = 75
+#: Sets of a block that is compared with another.
+BLOCK_SETS = 512
 #: Shingles hashed at a time, and words remembered in a task.
 BLOCK, REMEMBERED = 1 << 15, 500_000
 
@@ -146,61 +149,110 @@ def table_keys(classes: DataFrame) -> DataFrame:
     return both.select(F.xxhash64("a.i", "a.k", "b.i", "b.k").alias("key"), "node")
 
 
-def _judged(pairs: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
-    """(a, b, link, rest) of pairs (a, b, na, nb), on their full shingle sets.
-
-    rest are those shingles of b outside of a that a third set of the bucket, no smaller
-    than a, must share one of to link with b; see ``_linked``.
-    """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = nodes.join(classes, "node").select("node", "set_key", "low_id")
+def _sets_of(nodes: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, s): full shingle sets of the nodes, from the texts of one row of each class."""
+    asked = nodes.distinct().join(classes, "node").select("node", "set_key", "low_id")
     rows = wanted.join(asked.select("low_id").distinct(), wanted["doc_id"].eqNullSafe(F.col("low_id")), "left_semi")
     sets = map_batches(rows.select("text"), _sets, _SETS).join(asked.select("node", "set_key"), "set_key")
-    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("s")), "sets")
+    return stored(sets.groupBy("node").agg(F.first("shingles").alias("s")), "sets")
+
+
+def _judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, link, open) of pairs (a, b, na, nb), on their full shingle sets.
+
+    open: b may still link with a set that is no smaller than a. Such a link asks for more
+    common shingles than b shares with a, so b must have enough of them outside of a.
+    """
     both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
-    counted = both.select(
-        "a", "b", "na", "nb", F.array_except("sb", "sa").alias("rest")
-    ).withColumn("common", F.col("nb") - F.size("rest"))
+    common = F.size(F.array_intersect("sa", "sb")).cast("long")
+    counted = both.select("a", "b", "na", "nb", common.alias("common"))
     link = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
     least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent)) - F.col("common")
-    first = F.when(link, F.size("rest")).otherwise(F.size("rest") - least + 1)
-    return counted.select("a", "b", link.alias("link"), F.slice("rest", F.lit(1), F.greatest(first, F.lit(0)).cast("int")).alias("rest"))
+    return counted.select("a", "b", link.alias("link"), (F.col("nb") - F.col("common") >= least).alias("open"))
+
+
+def _compared(percent: int):
+    """Links among the sets of two blocks of a group that join components, at most one per set."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, i, j = (k.as_py() for k in key)
+        node, block = table["node"].to_numpy(), table["block"].to_numpy()
+        component, open_ = table["c"].to_numpy(), table["open"].to_numpy(zero_copy_only=False).astype(bool)
+        sets = table["s"].combine_chunks()
+        size = pc.list_value_length(sets).to_numpy().astype(np.int64)
+        flat, owner = sets.flatten().to_numpy(), np.repeat(np.arange(len(node)), size)
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        in_left, in_right = np.isin(owner, left), np.isin(owner, right)
+        shared = np.intersect1d(flat[in_left], flat[in_right])
+        common = np.zeros((len(left), len(right)), np.float32)
+        place = np.zeros(len(node), np.int64)
+        for at in range(0, len(shared), 4096):
+            part = shared[at : at + 4096]
+            sides = []
+            for rows, inside in ((left, in_left), (right, in_right)):
+                place[rows] = np.arange(len(rows))
+                column = np.minimum(np.searchsorted(part, flat[inside]), len(part) - 1)
+                hit = part[column] == flat[inside]
+                m = np.zeros((len(rows), len(part)), np.float32)
+                m[place[owner[inside][hit]], column[hit]] = 1
+                sides.append(m)
+            common += sides[0] @ sides[1].T
+        total = size[left][:, None] + size[right][None, :]
+        near = (100 + percent) * common.astype(np.int64) >= percent * total
+        near &= (component[left][:, None] != component[right][None, :]) & (open_[left][:, None] | open_[right][None, :])
+        parent = {c: c for c in component.tolist()}
+
+        def find(c):
+            while parent[c] != c:
+                c = parent[c]
+            return c
+
+        found = []
+        for x, y in zip(*np.nonzero(near)):
+            p, q = find(component[left[x]]), find(component[right[y]])
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                found.append((node[left[x]], node[right[y]]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
 
 
 def _linked(buckets: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
     """(node, component) of the classes that link, from the buckets (key, node) they meet in.
 
-    The smallest set A of a bucket is compared with all others. Let B be one that does not
-    link with A, and C any other: C is no smaller than A, so a link of B and C asks for more
-    common shingles than B shares with A; some must lie outside of A. By the count that must,
-    the first few of B's shingles outside of A, in the order of their hashes, hold one of
-    them. So the sets of a bucket that are not yet one component meet again under these
-    shingles, in buckets without A, until none is left. No link between sets that met is
-    lost, and a bucket's pairs are never listed.
+    The smallest set of a bucket is compared with all others; what meets under one smallest
+    set is a group. The sets of a group that is not one component yet are compared with
+    each other in blocks of bounded size, two blocks to a task, and only links between
+    components come out; so no link between sets that met is lost, and no pairs are listed.
     """
     sizes = classes.select("node", "n")
-    buckets, labels = stored(buckets, "tables"), None
-    while True:
-        sized = buckets.join(sizes, "node")
-        heads = sized.groupBy("key").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("m"))
-        heads = heads.where("m > 1").select("key", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
-        pairs = sized.join(heads, "key").where("node <> a")
-        pairs = stored(pairs.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct(), "pairs")
-        judged = stored(_judged(pairs, classes, wanted, percent), "judged")
-        labels = merged_labels(labels, judged.where("link").select("a", "b"))
-        named = (
-            judged.join(labels.toDF("b", "cb"), "b", "left")
-            .join(labels.toDF("a", "ca"), "a", "left")
-            .select("a", "b", "rest", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-        )
-        apart = named.groupBy("a").agg(F.count("*").alias("m"), F.max((F.col("ca") != F.col("cb")).cast("int")).alias("x"))
-        named = named.join(apart.where("m > 1 AND x = 1").select("a"), "a")
-        meet = named.select(F.explode("rest").alias("s"), "a", F.col("b").alias("node"), F.col("cb").alias("c"))
-        meet = meet.select(F.xxhash64("a", "s").alias("key"), "node", "c")
-        shared = meet.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        buckets = stored(meet.join(shared, "key").select("key", "node"), "tables")
-        if buckets.isEmpty():
-            return labels
+    sized = stored(buckets, "tables").join(sizes, "node")
+    heads = sized.groupBy("key").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("m"))
+    heads = heads.where("m > 1").select("key", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
+    pairs = sized.join(heads, "key").where("node <> a")
+    pairs = stored(pairs.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct(), "pairs")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, wanted)
+    judged = stored(_judged(pairs, sets, percent), "judged")
+    labels = merged_labels(None, judged.where("link").select("a", "b"))
+
+    named = (
+        judged.join(labels.toDF("b", "cb"), "b", "left")
+        .join(labels.toDF("a", "ca"), "a", "left")
+        .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("c"), "open")
+    )
+    apart = F.col("ca") != F.col("c")
+    # A set apart from the smallest one that has too little outside of it is done with.
+    named = named.where(~apart | F.col("open")).withColumn("open", apart)
+    groups = named.groupBy("a").agg(F.count("*").alias("m"), F.max("open").alias("x")).where("m > 1 AND x")
+    blocks = F.ceil(F.col("m") / BLOCK_SETS).cast("int")
+    members = named.join(groups.select("a", blocks.alias("blocks")), "a")
+    members = members.withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    copies = members.select(
+        "a", F.col("b").alias("node"), "block", "c", "open", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
+    ).select("a", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "node", "block", "c", "open")
+    found = copies.join(sets, "node").groupBy("a", "i", "j").applyInArrow(_compared(percent), "a bigint, b bigint")
+    return merged_labels(labels, stored(found.distinct(), "found"))
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
