@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.llm.common import map_batches, remainder, send_library, stored, text_slices
@@ -128,53 +128,57 @@ def backoff(total: np.ndarray, low: np.ndarray, seen: np.ndarray, d: np.ndarray)
 # Chunks
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, number = TaskContext.get().partitionId(), 0
-    ids, held, sizes, hashes, tokens = [], [], [], [], 0
-    known: dict[bytes, int] = {}
-
-    def row() -> pa.RecordBatch:
-        vocabulary, codes = np.unique(np.concatenate(hashes), return_inverse=True)
-        data = packed(vocabulary, codes.astype(np.uint32))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([task << 24 | number], pa.int64()),
-                pa.array([ids], pa.list_(pa.int64())),
-                pa.array([held], pa.list_(pa.bool_())),
-                pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([data], pa.binary()),
-            ],
-            ["chunk", "doc_ids", "held", "sizes", "data"],
-        )
+def _chunks(chunk_tokens: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        ids, held, sizes, hashes, tokens = [], [], [], [], 0
+        known: dict[bytes, int] = {}
+
+        def row() -> pa.RecordBatch:
+            vocabulary, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+            data = packed(vocabulary, codes.astype(np.uint32))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task << 24 | number], pa.int64()),
+                    pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([held], pa.list_(pa.bool_())),
+                    pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([data], pa.binary()),
+                ],
+                ["chunk", "doc_ids", "held", "sizes", "data"],
+            )
 
-    for batch in batches:
-        for at, texts in text_slices(batch, "text"):
-            if len(known) > 500_000:
-                known.clear()
-            split = [t.encode().lower().split() for t in texts]
-            for word in set().union(*split).difference(known):
-                known[word] = min(xxhash.xxh3_64_intdigest(word), int(END) - 1)
-            for words in split:
-                h = np.empty(len(words) + 1, np.uint64)
-                h[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                h[-1] = END
-                hashes.append(h)
-                sizes.append(len(h))
-                tokens += len(h)
-            ids += batch.column("doc_id").slice(at, len(texts)).to_pylist()
-            held += batch.column("held").slice(at, len(texts)).to_pylist()
-            if tokens >= CHUNK_TOKENS:
-                yield row()
-                number += 1
-                ids, held, sizes, hashes, tokens = [], [], [], [], 0
-    if ids:
-        yield row()
+        for batch in batches:
+            for at, texts in text_slices(batch, "text"):
+                if len(known) > 500_000:
+                    known.clear()
+                split = [t.encode().lower().split() for t in texts]
+                for word in set().union(*split).difference(known):
+                    known[word] = min(xxhash.xxh3_64_intdigest(word), int(END) - 1)
+                for words in split:
+                    h = np.empty(len(words) + 1, np.uint64)
+                    h[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                    h[-1] = END
+                    hashes.append(h)
+                    sizes.append(len(h))
+                    tokens += len(h)
+                ids += batch.column("doc_id").slice(at, len(texts)).to_pylist()
+                held += batch.column("held").slice(at, len(texts)).to_pylist()
+                if tokens >= chunk_tokens:
+                    yield row()
+                    number += 1
+                    ids, held, sizes, hashes, tokens = [], [], [], [], 0
+        if ids:
+            yield row()
+
+    return run
 
 
 class Chunk:
     """A chunk's tokens; words are numbered in the order of their hashes."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, hot: int = HOT):
+        self.hot = hot
         row = table.slice(0, 1)
         self.id = row["chunk"][0].as_py()
         self.doc_ids = row["doc_ids"].combine_chunks().flatten()
@@ -201,7 +205,7 @@ class Chunk:
         return home(self.words, buckets)
 
     def _bucket(self, before: np.ndarray, after: np.ndarray, counts: np.ndarray, buckets: int) -> np.ndarray:
-        parts = split_over(counts)
+        parts = split_over(counts, self.hot)
         spread = (self.words >> np.uint64(16)).astype(np.int64) & 0xFFFFFFFF
         return (self.home(buckets)[before] + spread[after] % parts[before]) % buckets
 
@@ -211,8 +215,8 @@ def home(words: np.ndarray, buckets: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def split_over(counts: np.ndarray) -> np.ndarray:
-    return 1 + counts.astype(np.int64) // HOT
+def split_over(counts: np.ndarray, hot: int) -> np.ndarray:
+    return 1 + counts.astype(np.int64) // hot
 
 
 def _answers(rows: list[tuple[int, int, bytes]]) -> pa.Table:
@@ -272,7 +276,7 @@ def _contexts(keys: np.ndarray, chunk: Chunk, counts: np.ndarray, buckets: int):
     A split context is asked for in all its buckets, with or without pairs of the chunk.
     """
     asked = np.flatnonzero(np.bincount((keys >> 22) & 0x3FFFFF, minlength=len(chunk.words)))
-    parts = split_over(counts)[asked]
+    parts = split_over(counts, chunk.hot)[asked]
     part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     context = np.repeat(asked, parts)
     bucket = (chunk.home(buckets)[context] + part) % buckets
@@ -281,11 +285,11 @@ def _contexts(keys: np.ndarray, chunk: Chunk, counts: np.ndarray, buckets: int):
     return wanted, runs
 
 
-def _ask_pairs(buckets: int):
+def _ask_pairs(buckets: int, hot: int):
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _answers([])
-        c = Chunk(left)
+        c = Chunk(left, hot)
         counts = _words_known(c, right)
         keys, _, times = c.pairs(counts, buckets)
         wanted, runs = _contexts(keys, c, counts, buckets)
@@ -350,14 +354,14 @@ def _add_pairs(unigrams: Unigrams):
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score(buckets: int, unigrams: Unigrams, d: np.ndarray):
+def _score(buckets: int, hot: int, unigrams: Unigrams, d: np.ndarray):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def run(_, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names)
-        c = Chunk(left)
+        c = Chunk(left, hot)
         of_pairs = right["pairs"].to_numpy().astype(bool)
         counts = _words_known(c, right.filter(pa.array(~of_pairs)))
         answers = right.filter(pa.array(of_pairs))
@@ -399,7 +403,10 @@ def _total(answers: DataFrame) -> np.ndarray:
     return np.sum([unpacked(bytes(r["data"]))[0] for r in rows], 0) if rows else np.zeros(_STATS, np.int64)
 
 
-def katz_scores(docs: DataFrame, held, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def katz_scores(
+    docs: DataFrame, held: Column, text: str = "text", doc_id: str = "doc_id", chunk_tokens: int = CHUNK_TOKENS,
+    chunk_bytes: int = CHUNK_BYTES, bucket_pairs: int = BUCKET_PAIRS, hot: int = HOT,
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; one row per row.
 
     ``held``: condition of the rows that are scored without training the model. A null text
@@ -415,11 +422,11 @@ def katz_scores(docs: DataFrame, held, text: str = "text", doc_id: str = "doc_id
         F.coalesce(held, F.lit(False)).alias("held"),
     )
     size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    homes = max(1, 2 * (-(-size // CHUNK_BYTES)))
-    buckets = max(1, size // 10 // BUCKET_PAIRS)
+    homes = max(1, 2 * (-(-size // chunk_bytes)))
+    buckets = max(1, size // 10 // bucket_pairs)
     # Stored in buckets by chunk, so that answers travel to chunks and chunks stay in place.
     name = f"hourloom_chunks_{uuid.uuid4().hex}"
-    chunked = map_batches(wanted, _chunks, _CHUNK).write.bucketBy(homes, "chunk").sortBy("chunk")
+    chunked = map_batches(wanted, _chunks(chunk_tokens), _CHUNK).write.bucketBy(homes, "chunk").sortBy("chunk")
     chunked.option("path", new_folder(spark, "llm-chunks")).format("parquet").saveAsTable(name)
     chunks = spark.table(name)
 
@@ -427,16 +434,16 @@ def katz_scores(docs: DataFrame, held, text: str = "text", doc_id: str = "doc_id
     words = stored(asked.groupBy("bucket").applyInArrow(_add_words, _ASK), "word-counts")
     unigrams = Unigrams(_total(words))
     by_chunk = lambda df: df.where("chunk >= 0").groupBy("chunk")
-    asked = chunks.groupBy("chunk").cogroup(by_chunk(words)).applyInArrow(_ask_pairs(buckets), _ASK)
+    asked = chunks.groupBy("chunk").cogroup(by_chunk(words)).applyInArrow(_ask_pairs(buckets, hot), _ASK)
     pairs = stored(asked.groupBy("bucket").applyInArrow(_add_pairs(unigrams), _ASK), "pair-counts")
     d = discounts(_total(pairs)[2:].astype(float))
     both = words.withColumn("pairs", F.lit(False)).unionByName(pairs.withColumn("pairs", F.lit(True)))
-    scored = chunks.groupBy("chunk").cogroup(by_chunk(both)).applyInArrow(_score(buckets, unigrams, d), _SCORES)
+    scored = chunks.groupBy("chunk").cogroup(by_chunk(both)).applyInArrow(_score(buckets, hot, unigrams, d), _SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(unigrams.n).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
-def katz_of_folds(docs: DataFrame) -> DataFrame:
+def katz_of_folds(docs: DataFrame, **sizes: int) -> DataFrame:
     """Scores of all rows under a model of those whose crc32 modulo 5 is not 1."""
-    return katz_scores(docs, remainder(F.col("doc_id")) == 1)
+    return katz_scores(docs, remainder(F.col("doc_id")) == 1, **sizes)
