@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.operators.joins import BROADCAST_ROWS, is_small, small_side
+from hourloom.operators.joins import BROADCAST_ROWS, is_small
+
+# Slots that share a 64-bit word; sums of this many different bits, repeated, stay apart from overflow.
+SLOTS_OF_WORD = 31
 
 
 def lag_by_date(
@@ -23,7 +26,9 @@ def lag_by_date(
 
     The new column is ``value`` at the mapped date and the same ``keys``; a date that is
     absent gives NULL. ``df`` may hold several rows per (keys, date): they multiply, as
-    in a SQL self-join. The earlier-date side is one shuffle of ``df`` that all lags reuse.
+    in a SQL self-join. ``df`` is shuffled once, on (keys, date); each lag brings its values
+    along to the date that looks back at them, so it adds a shuffle of narrow rows.
+    ``mapping`` has one row per date.
 
     ``unique=True`` says (keys, date) is unique and not NULL. Then each row is sent
     forward to the dates that look back at it, and a single shuffle on (keys, date)
@@ -31,27 +36,21 @@ def lag_by_date(
     """
     if unique:
         return _send_forward(df, mapping, value, lags, keys, date)
-    dates = list(dict.fromkeys(lags.values()))
-    source_columns = df.columns
-    mapped = mapping.select(F.col("base_date").alias("__base"), *dates)
-    out = df.join(small_side(mapped), F.col(date) == F.col("__base"), "left")
+    out, small = df, is_small(mapping)
     past = df.select(
         *[F.col(k).alias(f"__{k}") for k in keys], F.col(date).alias("__date"), F.col(value).alias("__value")
     )
     for name, mapped_date in lags.items():
-        # A date that maps to nothing (a weekend's business lag) matches nothing. Such rows
-        # are many: keyed by their own date they spread like the others, where a NULL key
-        # would send them all to the same few tasks.
-        mapped_to = F.coalesce(mapped_date, date)
-        match = (mapped_to == F.col("__date")) & F.col(mapped_date).isNotNull()
+        # A date that maps to nothing, such as a weekend's business lag, has no row here.
+        back = mapping.select(F.col("base_date").alias("__target"), F.col(mapped_date).alias("__from"))
+        back = back.where("__target IS NOT NULL AND __from IS NOT NULL")
+        earlier = past.join(F.broadcast(back) if small else back, F.col("__date") == F.col("__from"))
+        match = F.col(date) == F.col("__target")
         for k in keys:
             match = match & (F.col(k) == F.col(f"__{k}"))
-        out = (
-            out.join(past, match, "left")
-            .withColumnRenamed("__value", name)
-            .drop("__date", *[f"__{k}" for k in keys])
-        )
-    return out.select(*source_columns, *lags)
+        earlier = earlier.select(*[f"__{k}" for k in keys], "__target", F.col("__value").alias(name))
+        out = out.join(earlier, match, "left").drop("__target", *[f"__{k}" for k in keys])
+    return out.select(*df.columns, *lags)
 
 
 def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
@@ -78,12 +77,19 @@ def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
         *others,
         F.inline(F.when(F.col("__to").isNull(), itself).otherwise(F.concat(itself, F.col("__to")))),
     )
+    # What is sent to other dates is the value alone.
+    own_only = [F.when(F.col("slot") == 0, F.col(c)).alias(c) for c in others if c != value]
+    sent = sent.select(*keys, "target", "slot", value, *own_only)
 
     def at(slot: int, column: str):
         return F.max(F.when(F.col("slot") == slot, F.col(column)))
 
-    # Each slot has its own bit: their sum is their union unless one came twice.
-    bit = F.expr("shiftleft(1L, slot)")
+    # Each slot has its own bit of a word: the sum of bits is their union unless one came twice.
+    words = range(len(lags) // SLOTS_OF_WORD + 1)
+    bits = [
+        F.expr(f"CASE WHEN slot DIV {SLOTS_OF_WORD} = {w} THEN shiftleft(1L, slot % {SLOTS_OF_WORD}) ELSE 0L END")
+        for w in words
+    ]
     # Rows of a unique grain cannot be combined before the shuffle, so they are shuffled
     # as they are, which is narrower than partial aggregates.
     gathered = (
@@ -92,15 +98,17 @@ def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
         .agg(
             *[at(0, c).alias(c) for c in others],
             *[at(i, value).alias(name) for i, name in enumerate(lags, start=1)],
-            F.sum(bit).alias("__sum"),
-            F.bit_or(bit).alias("__seen"),
+            *[F.sum(bit).alias(f"__sum{w}") for w, bit in zip(words, bits)],
+            *[F.bit_or(bit).alias(f"__seen{w}") for w, bit in zip(words, bits)],
         )
     )
     grain = [*keys, date]
-    broken = F.col("__sum") != F.col("__seen")
+    broken = F.lit(False)
+    for w in words:
+        broken = broken | (F.col(f"__sum{w}") != F.col(f"__seen{w}"))
     for c in grain:
         broken = broken | F.col(c).isNull()
     complaint = F.raise_error(F.lit(f"rows are not unique and non-null on ({', '.join(grain)})"))
-    own = F.col("__seen").bitwiseAND(1) == 1
+    own = F.col("__seen0").bitwiseAND(1) == 1
     checked = gathered.where(F.when(broken, complaint.cast("boolean")).otherwise(own))
     return checked.select(*df.columns, *lags)

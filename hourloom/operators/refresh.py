@@ -5,6 +5,9 @@ dynamic partition overwrite, which stages its files and swaps them in when the j
 commits, so a task or executor lost on the way leaves the table as it was. Partitions
 that must end up empty are removed afterwards; running the same call again gives the
 same table.
+
+Rows without a date lie in no range, so a replacement never deletes them; those of a batch
+are added to them.
 """
 
 from __future__ import annotations
@@ -17,11 +20,14 @@ from dataclasses import dataclass, field
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.shared import new_folder
 
+# Fixed value: what Spark names the folder of rows without a partition value.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 
 class Refreshed(NamedTuple):
     deleted: int
@@ -45,8 +51,10 @@ def write_partitioned(
 def append(df: DataFrame, path: str, by: Sequence[str] = (), order: Sequence[str] | None = None) -> None:
     """Append rows; ``order`` fixes the column order of the table first."""
     rows = df.select(*order) if order else df
-    writer = rows.write.mode("append")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    if by:
+        write_partitioned(rows, path, by, "append")
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 def replace_snapshot(df: DataFrame, path: str) -> None:
@@ -56,12 +64,26 @@ def replace_snapshot(df: DataFrame, path: str) -> None:
 
 def outside_range(target: DataFrame, first: Column, last: Column | None, date: str, key=None) -> DataFrame:
     """Rows a delete of ``first <= date <= last`` (for one key value) leaves alone."""
+    return target.where(~_hit(first, last, date, key))
+
+
+def _hit(first: Column, last: Column | None, date: str, key=None) -> Column:
     hit = F.col(date) >= first
     if last is not None:
         hit = hit & (F.col(date) <= last)
     if key is not None:
         hit = hit & (F.col(key[0]) == F.lit(key[1]))
-    return target.where(~F.coalesce(hit, F.lit(False)))
+    return F.coalesce(hit, F.lit(False))
+
+
+class _Batch(NamedTuple):
+    """A staged batch: its rows, its partitions, and what was counted while it was written."""
+
+    rows: DataFrame
+    labels: set[str]
+    count: int
+    first: dt.date | None
+    last: dt.date | None
 
 
 @dataclass
@@ -114,7 +136,15 @@ class DatedTable:
         write_partitioned(self._stored(df), self.path, [self.partition], "append", self.cluster_by)
 
     def overwrite_partitions(self, df: DataFrame) -> None:
-        """Replace exactly the partitions ``df`` has rows for; others stay."""
+        """Replace exactly the partitions ``df`` has rows for; others stay.
+
+        A row without a date is in no partition to replace, so it is refused.
+        """
+        missing = F.raise_error(F.lit(f"{self.date} is NULL in rows that replace partitions"))
+        dated = F.when(F.col(self.date).isNull(), missing.cast("boolean")).otherwise(True)
+        self._overwrite(df.where(dated))
+
+    def _overwrite(self, df: DataFrame) -> None:
         spread = self._stored(df).hint("rebalance", self.partition)
         if self.cluster_by:
             spread = spread.sortWithinPartitions(self.partition, *self.cluster_by)
@@ -131,18 +161,19 @@ class DatedTable:
         Dates in between that the batch lacks are emptied as well. With ``key`` only
         rows of that key value are deleted.
         """
-        with self._staged(batch) as (rows, folders):
-            span = rows.agg(F.min(self.date).alias("first"), F.max(self.date).alias("last")).first()
-            if span["first"] is None:
-                return Refreshed(0, 0)
-            return self._replace(rows, folders, span["first"], span["last"], key)
+        with self._staged(batch) as staged:
+            if staged.first is None:
+                if staged.count:
+                    self.append(staged.rows)
+                return Refreshed(0, staged.count)
+            return self._replace(staged, staged.first, staged.last, key)
 
     def replace_window(
-        self, rows: DataFrame, first: dt.date, last: dt.date | None = None
+        self, rows: DataFrame, first: dt.date, last: dt.date | None = None, key: tuple[str, object] | None = None
     ) -> Refreshed:
-        """Delete ``date >= first`` (``<= last`` if given), then insert ``rows``."""
-        with self._staged(rows) as (staged, folders):
-            return self._replace(staged, folders, first, last, None)
+        """Delete ``date >= first`` (``<= last`` if given; of one key value if given), then insert ``rows``."""
+        with self._staged(rows) as staged:
+            return self._replace(staged, first, last, key)
 
     @contextmanager
     def _staged(self, rows: DataFrame):
@@ -151,46 +182,54 @@ class DatedTable:
         It is then read several times, and it may derive from the table it will change.
         """
         stage = DatedTable(self.spark, new_folder(self.spark, "batch"), self.date, self.grain)
-        stage.create(rows)
-        folders = set(stage._folders())
-        if folders:
-            yield stage.read().select(*rows.columns), folders
-        else:
-            yield rows.limit(0), folders
-        files, root = stage._file_system()
-        files.delete(root, True)
-
-    def _replace(self, rows: DataFrame, new_labels: set[str], first, last, key) -> Refreshed:
+        seen = Observation()
+        day = F.col(self.date)
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.min(day).alias("first"), F.max(day).alias("last"))
+        try:
+            stage.create(counted)
+            labels = set(stage._folders())
+            back = stage.read().select(*rows.columns) if labels else rows.limit(0)
+            got = seen.get if labels else {"n": 0, "first": None, "last": None}
+            yield _Batch(back, labels, got["n"], got["first"], got["last"])
+        finally:
+            files, root = stage._file_system()
+            files.delete(root, True)
+
+    def _replace(self, batch: _Batch, first, last, key) -> Refreshed:
         first, last = _as_date(first), _as_date(last)
+        rows, new_labels = batch.rows, batch.labels
         if not self.exists():
             if new_labels:
-                self.overwrite_partitions(rows)
-            return Refreshed(0, rows.count())
+                self._overwrite(rows)
+            return Refreshed(0, batch.count)
+        if NO_DATE in new_labels:
+            old = self.spark.read.parquet(self.path).where(F.col(self.partition).isNull())
+            rows = rows.unionByName(old.select(*rows.columns))
         touched = self._read_partitions(first, last).select(*rows.columns)
-        before = touched.count()
-        kept = outside_range(
-            touched, F.lit(first), None if last is None else F.lit(last), self.date, key
-        )
         written = set(new_labels)
         if self.grain == "day" and key is None:
-            kept_count, new = 0, rows
+            before, kept_count, new = touched.count(), 0, rows
         else:
-            new = kept.unionByName(rows)
-            kept_count = kept.count()
-            if kept_count:
-                label = self._label(F.col(self.date)).cast("string").alias("label")
-                written |= {r["label"] for r in kept.select(label).distinct().collect()}
+            stays = ~_hit(F.lit(first), None if last is None else F.lit(last), self.date, key)
+            label = F.when(stays, self._label(F.col(self.date)).cast("string"))
+            # One text per day or month that keeps rows.
+            found = touched.agg(
+                F.count(F.lit(1)).alias("before"), F.count_if(stays).alias("kept"), F.collect_set(label).alias("labels")
+            ).first()
+            before, kept_count = found["before"], found["kept"]
+            new = touched.where(stays).unionByName(rows) if kept_count else rows
+            written |= set(found["labels"])
         existing = self._folders()
         if written:
-            self.overwrite_partitions(new)
+            self._overwrite(new)
         low = str(self._label_of(first))
         high = None if last is None else str(self._label_of(last))
         self._remove(
             folder
             for label, folder in existing.items()
-            if label >= low and (high is None or label <= high) and label not in written
+            if label != NO_DATE and label >= low and (high is None or label <= high) and label not in written
         )
-        return Refreshed(before - kept_count, rows.count())
+        return Refreshed(before - kept_count, batch.count)
 
     def retain(self, as_of: dt.date, days: int) -> int:
         """Drop partitions that lie wholly before ``as_of - days``; returns how many.

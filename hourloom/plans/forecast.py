@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.times import moment
-from hourloom.shared import checkpointed
+from hourloom.shared import written
 
 # Model inputs in order, model settings, and how far things reach.
 FEATURES = (
@@ -47,10 +47,20 @@ MISSING = -1.0e9
 Predictor = Callable[[DataFrame], DataFrame]
 
 
+def _present(name: str) -> Column:
+    """A model input as a number, ``MISSING`` where it is missing or NaN."""
+    return F.coalesce(F.nanvl(F.col(name).cast("double"), F.lit(None)), F.lit(MISSING))
+
+
 def feature_vector() -> Column:
     """The model input, values that are missing or NaN replaced by ``MISSING``."""
-    values = F.array(*[F.col(c).cast("double") for c in FEATURES])
-    return array_to_vector(F.transform(values, lambda x: F.coalesce(F.nanvl(x, F.lit(None)), F.lit(MISSING))))
+    return array_to_vector(F.array(*[_present(c) for c in FEATURES]))
+
+
+def model_input(features: DataFrame, as_of: dt.date) -> DataFrame:
+    """The target and the inputs of all rows that train a model as of a day."""
+    known = training_rows(features, as_of)
+    return known.select("actual_power", *[_present(c).alias(c) for c in FEATURES])
 
 
 def training_rows(features: DataFrame, as_of: dt.date) -> DataFrame:
@@ -67,11 +77,9 @@ def train(
     seed: int = SEED,
 ) -> GBTRegressionModel:
     """Fit boosted trees on everything known before ``as_of``. Runs Spark jobs now."""
-    rows = training_rows(features, as_of).select(
-        feature_vector().alias("features"), F.col("actual_power").alias("label")
-    )
     # Boosting passes over the rows hundreds of times; the mart behind them is not redone.
-    rows = checkpointed(rows)
+    rows = written(model_input(features, as_of), "training")
+    rows = rows.select(feature_vector().alias("features"), F.col("actual_power").alias("label"))
     return GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed).fit(rows)
 
 

@@ -34,12 +34,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/hourloom/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor loses nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows, computed once into the shared folder; a lost executor loses nothing."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

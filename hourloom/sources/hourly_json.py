@@ -30,7 +30,8 @@ def read_documents(spark: SparkSession, paths: str | list[str], pattern: str = "
 
 
 def _schema(variables: dict[str, str]) -> str:
-    arrays = ", ".join(f"{name}: array<{kind}>" for name, kind in variables.items())
+    # Values are read as text: a number that does not fit is then one value's fault.
+    arrays = ", ".join(f"{name}: array<string>" for name in variables)
     return f"hourly struct<time: array<string>, {arrays}>, _bad string"
 
 
@@ -48,6 +49,23 @@ def _lengths(variables: Sequence[str]) -> dict[str, Column]:
     return {v: F.when(F.col(f"hourly.{v}").isNull(), 0).otherwise(F.size(f"hourly.{v}")) for v in variables}
 
 
+def _number(text: Column, kind: str) -> Column:
+    """A value as a number of its kind; whole numbers may be written with a point."""
+    number = text.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast(kind)) if kind == "bigint" else number.cast(kind)
+
+
+def _unreadable(variables: dict[str, str]) -> Column:
+    """Names of the variables with a value that is not such a number; NULL if none."""
+
+    def wrong(kind: str):
+        return lambda x: x.isNotNull() & _number(x, kind).isNull()
+
+    named = [F.when(F.exists(f"hourly.{v}", wrong(kind)), v) for v, kind in variables.items()]
+    found = F.array_compact(F.array(*named))
+    return F.when(F.size(found) > 0, F.concat_ws(", ", found))
+
+
 def _mismatch(variables: Sequence[str], hours: Column) -> Column:
     """``name: length`` of every array that is not as long as ``time``; NULL if none."""
     named = F.array_compact(
@@ -80,6 +98,7 @@ def extract_hourly(documents: DataFrame, variables: dict[str, str] = VARIABLES)
         .when(hours == 0, "no time values")
         .when(mismatch.isNotNull(), F.concat(F.lit("expected "), hours.cast("string"), F.lit(" values, got "), mismatch))
         .when(F.exists(time_of, lambda t: t.isNull()), "unreadable time")
+        .when(_unreadable(variables).isNotNull(), F.concat(F.lit("unreadable value of "), _unreadable(variables)))
     )
     zipped = F.arrays_zip(
         time_of.alias("at"), *[F.col(f"hourly.{v}").alias(v) for v in variables]
@@ -89,7 +108,7 @@ def extract_hourly(documents: DataFrame, variables: dict[str, str] = VARIABLES)
         lambda r: F.struct(
             r["at"].cast("date").alias("date"),
             F.date_format(r["at"], "HH").alias("hour"),
-            *[r[v].alias(v) for v in variables],
+            *[_number(r[v], kind).alias(v) for v, kind in variables.items()],
         ),
     )
     carried = [c for c in documents.columns if c != "text"]

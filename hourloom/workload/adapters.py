@@ -107,7 +107,7 @@ def _stored(spark: SparkSession, folder: str, name: str, make: Callable[[], Data
     place = (spark.sparkContext.applicationId, folder, name)
     if place not in _PATHS:
         path = new_folder(spark, name)
-        make().coalesce(1).write.parquet(path)
+        make().write.parquet(path)
         _PATHS[place] = path
     return spark.read.parquet(_PATHS[place])
 

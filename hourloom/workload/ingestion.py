@@ -319,21 +319,31 @@ def months_of_recent_days(spark, folder):
 @query(
     over(
         "weather",
-        """SELECT prefecture, date, hour, temperature_2m, relative_humidity_2m, precipitation, weather_code
-        FROM weather WHERE prefecture = 'view'""",
+        """SELECT prefecture, w.date, hour, temperature_2m, relative_humidity_2m, precipitation, weather_code,
+          TIMESTAMP '2024-02-01' AS created_at, good, bad, 0::BIGINT AS good_again, 0::BIGINT AS bad_again
+        FROM weather w JOIN days USING (prefecture, date) JOIN runs USING (prefecture) WHERE whole""",
+        days="""SELECT prefecture, date, day(date) % 7 <> 0 AND day(date) % 11 <> 0
+            AND NOT (prefecture = 'signup' AND day(date) % 13 = 0) AS whole FROM weather GROUP BY ALL""",
+        runs="""SELECT prefecture, COUNT(*) FILTER (WHERE whole) AS good, COUNT(*) FILTER (WHERE NOT whole) AS bad
+          FROM days GROUP BY 1""",
     )
 )
 def files_loaded_once(spark, folder):
-    """Two runs over a folder of documents: the second finds nothing new."""
-    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "progress")
-    documents = _documents(spark, folder, flawed=False).where(F.col("site") == adapters.SITE)
-    documents.select("text").write.option("maxRecordsPerFile", 1).text(inbox)
+    """Two runs over folders of documents, some bad, one folder per site: the second run finds nothing new."""
+    inbox, runs = new_folder(spark, "inbox"), []
+    _documents(spark, folder).select("site", "text").write.option("maxRecordsPerFile", 1).partitionBy("site").text(inbox)
     loaded = DatedTable(spark, new_folder(spark, "weather"))
-    for _ in range(2):
-        ingest_documents(
-            spark, inbox, loaded, checkpoint, ("prefecture", adapters.SITE), files_per_batch=10_000, pattern="*.txt"
-        )
-    return loaded.read()
+    sites = [r["site"] for r in adapters.weather(spark, folder).select(F.col("prefecture").alias("site")).distinct().collect()]
+    for site in sorted(sites):
+        record, counts = new_folder(spark, "record"), []
+        for _ in range(2):
+            at = dt.datetime(2024, 2, 1)
+            counts += ingest_documents(
+                spark, f"{inbox}/site={site}", loaded, record, ("prefecture", site), at, pattern="*.txt"
+            )
+        runs.append((site, *counts))
+    counted = spark.createDataFrame(runs, "prefecture string, good long, bad long, good_again long, bad_again long")
+    return loaded.read().join(F.broadcast(counted), "prefecture")
 
 
 @query(
@@ -362,14 +372,14 @@ def partitioned_table_copy(spark, folder):
     over(
         "predictions",
         """SELECT execution_id, CAST(created_at AS DATE) AS prediction_run_date, prediction_date, prediction_hour,
-        predicted_power_kwh FROM predictions""",
+        predicted_power_kwh, created_at FROM predictions""",
     )
 )
 def append_runs(spark, folder):
     """Three runs, each appended to a table partitioned by run date."""
     path = new_folder(spark, "runs")
     runs = adapters.predictions(spark, folder).withColumn("prediction_run_date", F.col("created_at").cast("date"))
-    order = ["execution_id", "prediction_run_date", "prediction_date", "prediction_hour", "predicted_power_kwh"]
+    order = ["execution_id", "prediction_run_date", "prediction_date", "prediction_hour", "predicted_power_kwh", "created_at"]
     for run in ("run-1", "run-3", "run-7"):
         append(runs.where(F.col("execution_id") == run), path, ["prediction_run_date"], order)
     return spark.read.parquet(path)
@@ -399,19 +409,20 @@ def json_lines_export(spark, folder):
 @query(
     over(
         "predictions",
-        """SELECT execution_id, CASE execution_id WHEN 'run-1' THEN DATE '2024-02-01' ELSE DATE '2024-02-03' END
-        AS prediction_run_date, prediction_date, prediction_hour, predicted_power_kwh, created_at
-        FROM predictions WHERE execution_id IN ('run-1', 'run-3')""",
+        """SELECT execution_id, CASE execution_id WHEN 'run-1' THEN DATE '2024-02-01' WHEN 'run-3' THEN DATE '2024-02-03'
+        ELSE DATE '2024-02-07' END AS prediction_run_date, prediction_date, prediction_hour, predicted_power_kwh, created_at
+        FROM predictions""",
     )
 )
 def csv_backfill(spark, folder):
-    """Two exports and one that is missing."""
+    """All exports, and one that is missing."""
     runs = adapters.predictions(spark, folder)
     files = []
-    for run, run_date in (("run-1", dt.date(2024, 2, 1)), ("run-3", dt.date(2024, 2, 3))):
+    for run, day in (("run-1", 1), ("run-3", 3), ("run-7", 7)):
+        run_date = dt.date(2024, 2, day)
         files.append((new_folder(spark, run), run_date))
         export_csv(runs.where(F.col("execution_id") == run), files[-1][0])
-    files.append((new_folder(spark, "absent"), dt.date(2024, 2, 7)))
+    files.append((new_folder(spark, "absent"), dt.date(2024, 2, 9)))
     path = new_folder(spark, "backfilled")
     backfill_predictions(spark, files, path)
     return spark.read.parquet(path)

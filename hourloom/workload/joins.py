@@ -98,12 +98,12 @@ def lag_join_repeated_rows(spark, folder):
         "site_energy site_predictions",
         """SELECT e.user_id, e.date, e.hour, actual_power, execution_id, predicted_power_kwh
         FROM site_energy e LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, prediction_date,
-          prediction_hour ORDER BY created_at DESC) AS rn FROM site_predictions WHERE prediction_hour % 2 = 0) p
+          prediction_hour ORDER BY created_at DESC) AS rn FROM site_predictions) p
         ON e.user_id = p.user_id AND e.date = p.prediction_date AND e.hour = p.prediction_hour AND p.rn = 1""",
     )
 )
 def left_join_latest(spark, folder):
-    runs = adapters.predictions(spark, folder, ["user_id"]).where(F.col("prediction_hour") % 2 == 0)
+    runs = adapters.predictions(spark, folder, ["user_id"])
     newest = latest_per_key(runs, ["user_id", "prediction_date", "prediction_hour"]).select(
         "user_id",
         F.col("prediction_date").alias("date"),
@@ -123,12 +123,11 @@ def left_join_latest(spark, folder):
         "site_energy site_predictions",
         """SELECT e.user_id, e.date, e.hour, execution_id, predicted_power_kwh, actual_power
         FROM site_predictions p JOIN site_energy e
-        ON e.user_id = p.user_id AND e.date = p.prediction_date AND e.hour = p.prediction_hour
-        WHERE e.date >= DATE '2024-01-10'""",
+        ON e.user_id = p.user_id AND e.date = p.prediction_date AND e.hour = p.prediction_hour""",
     )
 )
 def inner_join_forecasts(spark, folder):
-    energy = adapters.energy(spark, folder, ["user_id"]).where(F.col("date") >= "2024-01-10")
+    energy = adapters.energy(spark, folder, ["user_id"])
     runs = adapters.predictions(spark, folder, ["user_id"]).withColumnsRenamed(
         {"prediction_date": "date", "prediction_hour": "hour"}
     )

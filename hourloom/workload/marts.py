@@ -12,13 +12,12 @@ from hourloom.plans.accuracy import prediction_accuracy
 from hourloom.plans.dashboard import dashboard
 from hourloom.plans.features import future_features, ml_features
 from hourloom.plans.forecast import as_prediction_rows, forecast, same_hour_last_week
-from hourloom.plans.quality import power_period, power_rules, quality_checks
 from hourloom.plans.status import system_status
 from hourloom.shared import new_folder
 from hourloom.workload import adapters
 from hourloom.workload.adapters import AS_OF
 from hourloom.workload.registry import query
-from hourloom.workload.rows import CHECK_VIEWS
+from hourloom.workload.rows import CHECK_VIEWS, all_findings
 from hourloom.workload.sql import half_up, over
 
 PLACE = ("prefecture", adapters.SITE)
@@ -85,6 +84,7 @@ def ml_features_incremental(spark, folder):
             adapters.lag_mapping(spark, folder),
             PLACE,
             as_of=dt.date(2024, 1, 24),
+            unique=True,
         )
     )
 
@@ -239,18 +239,14 @@ def _status_sql() -> str:
         "energy weather run_log",
         _status_sql(),
         **CHECK_VIEWS,
-        graded="""SELECT *, list_position(['OK', 'WARNING', 'ERROR'], status) AS rank FROM findings
-          WHERE data_type = 'power'""",
+        graded="""SELECT *, list_position(['OK', 'WARNING', 'ERROR'], status) AS rank FROM findings""",
         runs="""SELECT process_type, started_at, struct_pack(status := status, message := error_message,
           seconds := date_diff('microsecond', started_at, completed_at) / 1000000.0) AS run
           FROM run_log WHERE date >= DATE '2024-01-29'""",
     )
 )
 def status_board(spark, folder):
-    checks = quality_checks(
-        adapters.energy(spark, folder), "power", power_rules((200, 1400), (300, 1700)), power_period(AS_OF, 7), AS_OF
-    )
-    return system_status(adapters.run_log(spark, folder), checks, AS_OF, PROCESSES)
+    return system_status(adapters.run_log(spark, folder), all_findings(spark, folder), AS_OF, PROCESSES)
 
 
 # The day the forecasts start: two weeks of "future" follow it in the data.

@@ -172,14 +172,13 @@ def retention(spark, folder):
 
 
 @query(
-    """SELECT o_orderpriority, COUNT(*) AS orders, MAX(CAST(o_orderdate AS DATE)) AS last_date FROM orders
-    WHERE o_orderstatus = 'F' GROUP BY 1"""
+    """SELECT o_orderpriority, COUNT(*) AS orders, MAX(CAST(o_orderdate AS DATE)) AS last_date FROM orders GROUP BY 1"""
 )
 def snapshot_replace(spark, folder):
     path = new_folder(spark, "snapshot")
     orders = adapters.table(spark, folder, "orders")
-    for status in ("O", "F"):
-        board = orders.where(F.col("o_orderstatus") == status).groupBy("o_orderpriority")
+    for statuses in (("O",), ("O", "F", "P")):
+        board = orders.where(F.col("o_orderstatus").isin(*statuses)).groupBy("o_orderpriority")
         replace_snapshot(
             board.agg(F.count("*").alias("orders"), F.max(F.col("o_orderdate").cast("date")).alias("last_date")), path
         )

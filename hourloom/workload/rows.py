@@ -159,7 +159,7 @@ def null_counts_sorted(spark, folder):
     return null_profile(rows, ["date", "hour", "precipitation", "prefecture"]).select("column", "missing_count")
 
 
-def _findings(spark, folder):
+def all_findings(spark, folder):
     power = quality_checks(
         adapters.energy(spark, folder),
         "power",
@@ -245,9 +245,9 @@ CHECK_VIEWS = {
 
 
 @query(over("energy weather", "SELECT * FROM findings", **CHECK_VIEWS))
-def quality_findings(spark, folder):
+def qualityall_findings(spark, folder):
     """Power and weather findings in one list."""
-    return _findings(spark, folder)
+    return all_findings(spark, folder)
 
 
 @query(
@@ -261,7 +261,7 @@ def quality_findings(spark, folder):
     )
 )
 def quality_overall(spark, folder):
-    return overall_status(_findings(spark, folder))
+    return overall_status(all_findings(spark, folder))
 
 
 

@@ -143,3 +143,14 @@ def test_conversion_names_outputs_and_reports(spark, tmp_path):
     }
     other_day = hourly_json.conversion_report(hourly_json.convert_documents(documents, "2024-10-02"))
     assert set(_named(other_day, "status").values()) == {"failed"}
+
+
+def test_numbers_as_they_may_be_written(spark):
+    texts = [
+        ("points", _doc(weather_code=[3.0, 61.0])),
+        ("halves", _doc(weather_code=[3.5, 1], temperature_2m=["warm", 1])),
+    ]
+    found = hourly_json.extract_hourly(spark.createDataFrame(texts, "path string, text string"))
+    reasons = {r["path"]: r["reason"] for r in found.collect()}
+    assert reasons == {"points": None, "halves": "unreadable value of temperature_2m, weather_code"}
+    assert [r["weather_code"] for r in sectioned.unpack(found).collect()] == [3, 61]

@@ -8,7 +8,7 @@ import pytest
 from hourloom.operators.refresh import DatedTable
 from hourloom.shared import new_folder, shared_root
 from hourloom.sources.sectioned import MARKER
-from hourloom.streaming.ingest import ingest_documents, ingest_sectioned
+from hourloom.streaming.ingest import ingest_documents, ingest_sectioned, read_record
 
 D = dt.date
 
@@ -25,12 +25,12 @@ def test_power_files_are_loaded_once_and_late_ones_replace(spark, tmp_path):
     _power_file(inbox, "a.csv", D(2024, 1, 1), 100)
     _power_file(inbox, "b.csv", D(2024, 1, 3), 300)
     _power_file(inbox, "bad.csv", D(2024, 1, 2), 200, hours=23)
-    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == 1
+    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == (2, 1)
     assert table.read().count() == 48
-    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == 0
+    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == (0, 0)
     assert table.read().count() == 48
     _power_file(inbox, "late.csv", D(2024, 1, 3), 500)
-    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == 1
+    assert ingest_sectioned(spark, str(inbox), table, checkpoint) == (1, 0)
     rows = {(r["date"], r["hour"]): r["actual_power"] for r in table.read().collect()}
     assert len(rows) == 48 and rows[D(2024, 1, 3), 2] == 502.0 and rows[D(2024, 1, 1), 2] == 102.0
 
@@ -52,11 +52,41 @@ def test_later_documents_win_within_one_run(spark, tmp_path):
     os.utime(inbox / "z_first.json", (1_700_000_000, 1_700_000_000))
     os.utime(inbox / "a_second.json", (1_700_000_900, 1_700_000_900))
     ran = ingest_documents(spark, str(inbox), table, new_folder(spark, "progress"), ("prefecture", "chiba"))
-    assert ran == 2
+    assert ran == (2, 0)
     got = sorted((r["prefecture"], r["date"].day, r["temperature_2m"]) for r in table.read().collect())
     assert got == [("chiba", 1, 1.0)] * 2 + [("chiba", 2, 2.0)] * 2 + [("chiba", 4, 2.0)] * 2 + [("tokyo", 2, 9.0)]
 
 
+def test_a_file_delivered_again_is_loaded_again(spark, tmp_path):
+    inbox = tmp_path / "inbox" / "202401"
+    inbox.mkdir(parents=True)
+    table, record = DatedTable(spark, new_folder(spark, "power")), new_folder(spark, "record")
+    at = dt.datetime(2024, 1, 9)
+    _power_file(inbox, "a.csv", D(2024, 1, 1), 100, hours=23)
+    assert ingest_sectioned(spark, str(inbox.parent), table, record, at) == (0, 1)
+    assert not os.path.isdir(table.path)
+    _power_file(inbox, "a.csv", D(2024, 1, 1), 100)
+    os.utime(inbox / "a.csv", (1_800_000_000, 1_800_000_000))
+    assert ingest_sectioned(spark, str(inbox.parent), table, record, at, delete=True) == (1, 0)
+    rows = table.read().collect()
+    assert len(rows) == 24 and {r["created_at"] for r in rows} == {at}
+    assert not list(inbox.iterdir())
+
+
+def test_a_bad_document_is_in_nobodys_way(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    table, record = DatedTable(spark, new_folder(spark, "weather")), new_folder(spark, "record")
+    (inbox / "a.json").write_text("{")
+    _document(inbox, "b.json", [D(2024, 1, 1), D(2024, 1, 5)], 1.0)
+    archive = str(tmp_path / "done")
+    assert ingest_documents(spark, str(inbox), table, record, ("prefecture", "x"), archive=archive) == (1, 1)
+    assert table.read().count() == 4
+    assert os.listdir(inbox) == ["a.json"] and os.listdir(archive) == ["b.json"]
+    errors = {os.path.basename(r["path"]): r["error"] for r in read_record(spark, record).collect()}
+    assert errors == {"a.json": "not valid JSON", "b.json": None}
+
+
 class _Session:
     """What ``shared_root`` looks at in a session that names no folder."""
 

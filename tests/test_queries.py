@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from hourloom.workload import load
 
 FOLDER = entry.SMOKE_FOLDER
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
-SQL = entry.oracle_sql()
+SQL = load().SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,8 @@ def test_query(spark, connection, name):
 
 
 def test_every_query_but_the_trees_has_sql():
-    assert set(entry.queries()) - set(SQL) == {"forecast_trees"}
+    assert set(load().QUERIES) - set(SQL) == {"forecast_trees"}
+    assert set(load().QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_known_numbers(spark):

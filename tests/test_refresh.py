@@ -120,3 +120,68 @@ def test_append_orders_columns_and_snapshot_replaces(spark):
     for v in (1, 2):
         replace_snapshot(_rows(spark, [(D(2024, 1, 1), "a", v)]), path)
     assert [r["v"] for r in spark.read.parquet(path).collect()] == [2]
+
+
+def _dated(spark, tmp_path, grain, rows):
+    table = DatedTable(spark, str(tmp_path / "t"), grain=grain)
+    table.create(_odd(spark, rows))
+    return table
+
+
+def _odd(spark, rows):
+    return spark.createDataFrame(rows, "k string, date date, v int")
+
+
+OLD = [("a", dt.date(2024, 1, 5), 1), ("b", dt.date(2024, 2, 5), 2), ("a", None, 3), ("b", None, 4)]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+@pytest.mark.parametrize("last", [None, dt.date(2024, 12, 31)])
+def test_rows_without_a_date_outlive_windows(spark, tmp_path, grain, last):
+    table = _dated(spark, tmp_path, grain, OLD)
+    new = [("c", dt.date(2024, 2, 6), 5), ("c", None, 6)]
+    assert table.replace_window(_odd(spark, new), dt.date(2024, 2, 1), last) == (1, 2)
+    assert sorted(r["v"] for r in table.read().collect()) == [1, 3, 4, 5, 6]
+    assert table.replace_window(_odd(spark, []), dt.date(2024, 1, 1), last) == (2, 0)
+    assert sorted(r["v"] for r in table.read().collect()) == [3, 4, 6]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+@pytest.mark.parametrize("key", [None, ("k", "a")])
+def test_rows_without_a_date_outlive_loaded_ranges(spark, tmp_path, grain, key):
+    table = _dated(spark, tmp_path, grain, OLD)
+    new = [("a", dt.date(2024, 1, 1), 5), ("a", dt.date(2024, 2, 9), 6), ("a", None, 7)]
+    deleted = 2 if key is None else 1
+    assert table.replace_loaded_range(_odd(spark, new), key) == (deleted, 3)
+    want = [3, 4, 5, 6, 7] if key is None else [2, 3, 4, 5, 6, 7]
+    assert sorted(r["v"] for r in table.read().collect()) == want
+    assert table.replace_loaded_range(_odd(spark, [("a", None, 8)]), key) == (0, 1)
+    assert table.replace_loaded_range(_odd(spark, []), key) == (0, 0)
+    assert sorted(r["v"] for r in table.read().collect()) == [*want, 8]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_partitions_are_not_replaced_by_rows_without_a_date(spark, tmp_path, grain):
+    table = _dated(spark, tmp_path, grain, OLD)
+    with pytest.raises(Exception, match="date is NULL"):
+        table.overwrite_partitions(_odd(spark, [("c", dt.date(2024, 2, 5), 5), ("c", None, 6)]))
+    table.overwrite_partitions(_odd(spark, [("c", dt.date(2024, 2, 5), 5)]))
+    assert sorted(r["v"] for r in table.read().collect()) == [1, 3, 4, 5]
+
+
+def test_a_failed_refresh_leaves_no_staged_batch(spark, tmp_path, monkeypatch):
+    import hourloom.operators.refresh as refresh
+
+    monkeypatch.setattr(refresh, "new_folder", lambda spark, label: str(tmp_path / "stage"))
+    table = _dated(spark, tmp_path, "day", OLD)
+    bad = _odd(spark, OLD).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception):
+        table.replace_loaded_range(bad)
+    assert not (tmp_path / "stage").exists()
+    assert table.read().count() == 4
+
+
+def test_appended_dates_are_one_file_each(spark, tmp_path):
+    rows = _odd(spark, [("a", dt.date(2024, 1, 1 + i % 3), i) for i in range(300)]).repartition(4)
+    append(rows, str(tmp_path / "t"), ["date"])
+    assert len(list((tmp_path / "t").glob("date=*/*.parquet"))) == 3
