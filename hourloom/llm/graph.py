@@ -36,7 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
         large = (
             both.join(lowest, "u").where("v > u AND v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        large = stored(large, "large-star")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(lowest, "u")

@@ -221,23 +221,33 @@ def _compared(percent: int):
 def _linked(buckets: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
     """(node, component) of the classes that link, from the buckets (key, node) they meet in.
 
-    The smallest set of a bucket is compared with all others; what meets under one smallest
-    set is a group. The sets of a group that is not one component yet are compared with
-    each other in blocks of bounded size, two blocks to a task, and only links between
-    components come out; so no link between sets that met is lost, and no pairs are listed.
+    What meets under one smallest set is a group. A group that fits a block is compared in
+    one task. In a larger one the smallest set is compared with all others first; where
+    that does not make one component, the sets are compared with each other in blocks, two
+    to a task. Only links between components come out, so no link between sets that met is
+    lost, and no pairs are listed.
     """
     sizes = classes.select("node", "n")
     sized = stored(buckets, "tables").join(sizes, "node")
     heads = sized.groupBy("key").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("m"))
     heads = heads.where("m > 1").select("key", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
     pairs = sized.join(heads, "key").where("node <> a")
-    pairs = stored(pairs.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct(), "pairs")
+    pairs = pairs.select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb")).distinct()
+    pairs = stored(pairs, "pairs")
+    pairs = stored(pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a"), "grouped-pairs")
     sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, wanted)
-    judged = stored(_judged(pairs, sets, percent), "judged")
-    labels = merged_labels(None, judged.where("link").select("a", "b"))
 
+    fits = pairs.where(f"m > 1 AND m < {BLOCK_SETS}")
+    members = fits.select("a", F.col("b").alias("node")).unionByName(fits.select("a", F.col("a").alias("node")).distinct())
+    zero = F.lit(0)
+    whole = members.select("a", zero.alias("i"), zero.alias("j"), "node", zero.alias("block"), F.col("node").alias("c"), F.lit(True).alias("open"))
+    inside = _compare_blocks(whole, sets, percent)
+    judged = stored(_judged(pairs.where(f"m = 1 OR m >= {BLOCK_SETS}"), sets, percent), "judged")
+    labels = merged_labels(None, judged.where("link").select("a", "b").unionByName(inside))
+
+    crowded = judged.join(pairs.where(f"m >= {BLOCK_SETS}").select("a", "b"), ["a", "b"])
     named = (
-        judged.join(labels.toDF("b", "cb"), "b", "left")
+        crowded.join(labels.toDF("b", "cb"), "b", "left")
         .join(labels.toDF("a", "ca"), "a", "left")
         .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("c"), "open")
     )
@@ -251,8 +261,13 @@ def _linked(buckets: DataFrame, classes: DataFrame, wanted: DataFrame, percent:
     copies = members.select(
         "a", F.col("b").alias("node"), "block", "c", "open", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
     ).select("a", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "node", "block", "c", "open")
-    found = copies.join(sets, "node").groupBy("a", "i", "j").applyInArrow(_compared(percent), "a bigint, b bigint")
-    return merged_labels(labels, stored(found.distinct(), "found"))
+    return merged_labels(labels, _compare_blocks(copies, sets, percent))
+
+
+def _compare_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of members (a, i, j, node, block, c, open) of groups, block i against block j."""
+    found = members.join(sets, "node").groupBy("a", "i", "j").applyInArrow(_compared(percent), "a bigint, b bigint")
+    return stored(found.distinct(), "found")
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
