@@ -99,6 +99,11 @@ def ship_lag_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(spark, folder, "ship-lags", lambda: date_lag_mapping(cal, [1, 7], [1]))
 
 
+def ship_lag_mapping_60(spark: SparkSession, folder: str) -> DataFrame:
+    cal = ship_calendar(spark, folder)
+    return _stored(spark, folder, "ship-lags-60", lambda: date_lag_mapping(cal, list(range(1, 61)), [1]))
+
+
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 

@@ -74,6 +74,24 @@ def lag_join_by_date(spark, folder):
     )
 
 
+_DAYS = range(1, 61)
+
+
+@query(
+    over(
+        "revenue",
+        f"""SELECT l_suppkey, date, revenue, {', '.join(f'm[date - {k}] AS lag_{k}_day' for k in _DAYS)}
+        FROM revenue JOIN maps USING (l_suppkey)""",
+        maps="SELECT l_suppkey, map(list(date), list(revenue)) AS m FROM revenue GROUP BY 1",
+    )
+)
+def lag_join_60_days(spark, folder):
+    """Revenue per supplier and day with that of each of the 60 days before."""
+    lags = {f"lag_{k}_day": f"lag_{k}_day_date" for k in _DAYS}
+    mapping = adapters.ship_lag_mapping_60(spark, folder)
+    return lag_by_date(adapters.revenue(spark, folder), mapping, "revenue", lags, ["l_suppkey"], unique=True)
+
+
 @query(
     over(
         "ship_calendar ship_business",

@@ -11,7 +11,7 @@ from hourloom.operators.refresh import append
 from hourloom.plans.accuracy import prediction_accuracy
 from hourloom.plans.dashboard import dashboard
 from hourloom.plans.features import future_features, ml_features
-from hourloom.plans.forecast import as_prediction_rows, forecast, same_hour_last_week
+from hourloom.plans.forecast import FEATURES, as_prediction_rows, forecast, model_input, same_hour_last_week
 from hourloom.plans.status import system_status
 from hourloom.shared import new_folder
 from hourloom.workload import adapters
@@ -106,6 +106,22 @@ def ml_features_by_site(spark, folder):
     return _rounded(site_features(spark, folder))
 
 
+# Fixed value: what stands for a missing input.
+_INPUTS = ", ".join(f"coalesce(CAST({c} AS DOUBLE), -1e9) AS {c}" for c in FEATURES)
+
+
+@query(
+    over(
+        "site_energy site_weather mapping calendar",
+        f"SELECT actual_power, {_INPUTS} FROM mart WHERE date < DATE '2024-01-16' AND actual_power IS NOT NULL",
+        mart=_SITES,
+    )
+)
+def training_input(spark, folder):
+    """What the trees of ``forecast_trees`` are fitted to."""
+    return _rounded(model_input(site_features(spark, folder), START))
+
+
 _RATE = half_up("actual_power / supply_capacity * 100", 1)
 _DASHBOARD = f"""SELECT * EXCLUDE (predicted_power_kwh), predicted_power_kwh AS predicted_power,
     abs(predicted_power_kwh - actual_power) AS error_absolute,

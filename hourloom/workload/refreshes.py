@@ -71,6 +71,32 @@ def replace_loaded_range_of_key(spark, folder):
     return stored.read()
 
 
+_ODD_DATE = "CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) END"
+_SOME_UNDATED = f"SELECT o_orderkey, {_ODD_DATE} AS date, o_orderpriority, o_totalprice FROM orders"
+
+
+@query(
+    over(
+        "",
+        f"SELECT * FROM stored WHERE ({_SPAN}) IS NOT TRUE UNION ALL SELECT * FROM batch",
+        stored=_SOME_UNDATED,
+        batch="""SELECT o_orderkey, date, o_orderpriority, o_totalprice * 2 AS o_totalprice FROM stored
+          WHERE date BETWEEN DATE '1997-03-10' AND DATE '1997-06-20' OR date IS NULL AND o_orderkey % 100 = 0""",
+    )
+)
+def replace_range_beside_undated_rows(spark, folder):
+    """Rows without a date, in the table and in the batch, outlive the replacement."""
+    dated = F.when(F.col("o_orderkey") % 50 != 0, F.col("date")).alias("date")
+    rows = _orders(spark, folder).select("o_orderkey", dated, "o_orderpriority", "o_totalprice")
+    stored = DatedTable(spark, new_folder(spark, "orders"), grain="month", cluster_by=["o_orderkey"])
+    stored.create(rows)
+    fresh = F.col("date").between(dt.date(1997, 3, 10), dt.date(1997, 6, 20))
+    undated = F.col("date").isNull() & (F.col("o_orderkey") % 100 == 0)
+    batch = rows.where(fresh | undated).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    stored.replace_loaded_range(batch)
+    return stored.read()
+
+
 def _event_days(spark: SparkSession, folder: str) -> tuple[DatedTable, DataFrame]:
     stored = DatedTable(spark, new_folder(spark, "readings"), cluster_by=["event_id"])
     rows = adapters.readings(spark, folder).select("event_id", "date", "hour", "site", "actual_power")
