@@ -85,7 +85,10 @@ def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
         F.lit(0).cast("long"),
         lambda a, x: a + x,
     )
-    df = df.select(*kept, covered.alias(f"{p}n_repeat_words"))
+    # Never below 0, but not known to be deterministic: a filter on what follows would else be
+    # pushed below all projections above, each of their expressions repeated for every use.
+    fence = F.when(F.monotonically_increasing_id() < 0, 1).otherwise(0)
+    df = df.select(*kept, (covered + fence).alias(f"{p}n_repeat_words"))
     share = lambda a, b: F.when(F.col(p + b) > 0, F.col(p + a) / F.col(p + b)).otherwise(0.0)
     return df.withColumns(
         {

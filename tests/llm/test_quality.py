@@ -46,6 +46,13 @@ def test_rules_are_one_native_projection(spark):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_a_filter_stays_above_the_measures(spark):
+    docs = table(spark)
+    kept = qr.quality_rules(docs).where("qr_kept").select(*docs.columns)
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 30_000
+    assert kept.count() == 0
+
+
 def test_thresholds_are_compiled(spark):
     words = " ".join(["the"] + [f"word{i}" for i in range(80)])
     docs = table(spark, [(1, words, "", "", 1), (2, words.replace("w", "#w"), "", "", 1)])
