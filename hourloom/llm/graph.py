@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.llm.common import stored
@@ -72,10 +72,13 @@ def merged_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(old.unionByName(new), "labels")
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def link_buckets(
+    buckets: DataFrame, near: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
     """Components and links among nodes that share a bucket.
 
-    buckets: distinct (key, node), node a long, from a stored table; verify: pairs (a, b) to those that are links.
+    buckets: distinct (key, node, sig), node a long, from a stored table; near: whether two
+    sigs may be those of a link, asked in the join; verify: pairs (a, b) to those that link.
     Returns (node, component) for linked nodes, and the links found.
 
     Every bucket sends its smallest member against all others. Where that does not make
@@ -86,17 +89,16 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
     rows per member and round.
     """
     heads = stored(buckets.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "heads")
-    buckets = stored(buckets.join(heads.select("key"), "key"), "buckets")
-    pairs = (
-        buckets.join(heads.select("key", "a"), "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    )
-    tried = stored(pairs, "pairs")
+    buckets = stored(buckets.join(heads, "key"), "buckets")
+    first = buckets.where("node = a").select("key", "a", F.col("sig").alias("asig"))
+    pairs = buckets.drop("a", "n").join(first, "key").where((F.col("node") != F.col("a")) & near(F.col("asig"), F.col("sig")))
+    tried = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
     links = stored(verify(tried), "links")
     labels = merged_labels(None, links)
-    rest = buckets.join(heads.where("n > 2").select("key"), "key")
+    rest = buckets.where("n > 2").select("key", "node", "sig")
     rank, width = 1, 15
     while True:
-        named = rest.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+        named = rest.join(labels, "node", "left").select("key", "node", "sig", F.coalesce("component", "node").alias("c"))
         open_keys = (
             named.groupBy("key")
             .agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
@@ -111,12 +113,13 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
             live.withColumn("r", place)
             .where(F.col("r") <= rank + width)
             .where(F.col("r") > rank)
-            .select("key", F.col("node").alias("a"), F.col("c").alias("ac"))
+            .select("key", F.col("node").alias("a"), F.col("c").alias("ac"), F.col("sig").alias("asig"))
         )
-        pairs = live.join(leaders, "key").where("node > a AND c <> ac").select("a", F.col("node").alias("b")).distinct()
+        apart = (F.col("node") > F.col("a")) & (F.col("c") != F.col("ac")) & near(F.col("asig"), F.col("sig"))
+        pairs = live.join(leaders, "key").where(apart).select("a", F.col("node").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         more = stored(verify(pairs), "links")
         links, labels = links.unionByName(more), merged_labels(labels, more)
-        rest = live.select("key", "node")
+        rest = live.select("key", "node", "sig")
         rank, width = rank + width, MOST_LEADERS
