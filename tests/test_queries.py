@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import bench
 from compare import connect, differences
 from hourloom.workload import load
 
@@ -28,6 +29,10 @@ def test_every_query_but_the_trees_has_sql():
     assert set(load().QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
+def test_every_benched_query_is_registered():
+    assert set(bench.HEADLINE) <= set(entry.queries())
+
+
 def test_known_numbers(spark):
     """Counts worked out beforehand in SQL over the same tables."""
     features = entry.entry(spark).toPandas()
