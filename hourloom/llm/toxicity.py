@@ -13,7 +13,6 @@ worst in each text.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,8 @@ INPUT = 2 * WIDTH + 2
 #: Buckets of what the sample tells about words and sequences of 3 to 5 characters.
 SIGNS = 1 << 19
 WINDOW, STRIDE = 32, 28
+#: Longer words are read as parts of so many characters, each with so many of the one before.
+PART, SHARED = 64, 16
 BATCH, EPOCHS, RATE = 128, 4, 0.01
 REMEMBERED, BLOCK = 200_000, 4096
 
@@ -40,6 +41,14 @@ def plain(word: str) -> str:
     return word if word.isalnum() else word.strip("#*$%&|<>.,!?;:\"'()[]-_") or word
 
 
+def steps(text: str) -> list[str]:
+    """Words of a text, long ones in overlapping parts, so that every character is read."""
+    words = text.split()
+    if max(map(len, words), default=0) <= PART:
+        return words
+    return [w[i : i + PART] for w in words for i in range(0, max(1, len(w) - SHARED), PART - SHARED)]
+
+
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,22 +60,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Letters:
     """Hashes of words and of their sequences of characters, many words at a time.
 
-    Words are laid end to end between marks; all but their first 64 characters count only
-    for the word's own hash.
+    Words are laid end to end between marks.
     """
 
     def __init__(self, words: list[str]):
-        marked = [f"^{w[:64] or '^'}$" for w in words]
+        marked = [f"^{w or '^'}$" for w in words]
         self.size = np.array([len(m) for m in marked], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         self.place = np.arange(len(self.points)) - np.repeat(self.start, self.size)
         self.left = np.repeat(self.size, self.size) - self.place  # characters from here on
-        powers = np.cumprod(np.full(66, _FACTOR, np.uint64))
-        own = np.add.reduceat(self.points * powers[self.place], self.start)
-        long = [i for i, w in enumerate(words) if len(w) > 64]
-        own[long] = [np.uint64(zlib.crc32(words[i].encode())) for i in long]
-        self.own = _mixed(own)
+        powers = np.cumprod(np.full(self.size.max(), _FACTOR, np.uint64))
+        self.own = _mixed(np.add.reduceat(self.points * powers[self.place], self.start))
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n characters from each place on, and whether the word has so many."""
@@ -302,7 +307,7 @@ class Scorer:
         return out
 
     def many(self, texts: list[str]) -> np.ndarray:
-        split = [t.split() for t in texts]
+        split = [steps(t) for t in texts]
         codes = self.codes(split)
         place, there, text = window_table(np.array([len(ws) for ws in split]))
         worst = np.full(len(texts), -np.inf)
@@ -370,7 +375,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
         network.p["c"][:] = 2.0 if len(texts) and toxic.all() else -2.0
         return network
     words = Vocabulary()
-    codes = [words.codes(t.split()) for t in texts]
+    codes = [words.codes(steps(t)) for t in texts]
     network.signs = _signs(words, codes, toxic)
     odds = network.clearest(Letters(words.plain)).max(1)
     odds[0] = 0

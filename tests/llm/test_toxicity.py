@@ -75,6 +75,25 @@ def test_learns_words_and_stems_at_any_place():
     assert np.allclose(alone, scores[:20], atol=1e-5)
 
 
+@pytest.mark.parametrize("n", [1, 64, 65, 112, 113, 1000])
+def test_parts_of_a_word_hold_every_sequence(n):
+    word = "".join(np.random.default_rng(n).choice(list("abcdefgh"), n))
+    parts = tx.steps(f"a {word} b")[1:-1]
+    assert max(map(len, parts)) <= tx.PART
+    assert {word[i : i + 16] for i in range(n - 15)} <= {p[i : i + 16] for p in parts for i in range(len(p) - 15)}
+    assert parts[0][: min(n, 64)] == word[:64] and word.endswith(parts[-1])
+
+
+def test_toxic_letters_deep_in_a_text_without_spaces():
+    network = tx.train(*made(0, 600))
+    clean, found = made(1, 90)
+    clean = ["_".join(t.split()) for t, toxic in zip(clean, found) if not toxic]
+    toxic = [f"{t[: len(t) // 2]}_xquabcde_{t[len(t) // 2 :]}" for t in clean]
+    assert min(len(t) // 2 for t in toxic) >= 50
+    scores = tx.Scorer(network).many([*clean, *toxic])
+    assert (scores[len(clean) :] >= 0.5).mean() > 0.9 and (scores[: len(clean)] >= 0.5).mean() < 0.1
+
+
 def labels_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
 
