@@ -28,7 +28,7 @@ WORDS, GRAMS, WIDTH, HIDDEN = 8192, 4096, 8, 6
 INPUT = 2 * WIDTH + 2
 #: Buckets of what the sample tells about words and sequences of 3 to 5 characters.
 SIGNS = 1 << 19
-WINDOW, STRIDE = 32, 28
+WINDOW, STRIDE = 32, 16
 #: Longer words are read as parts of so many characters, each with so many of the one before.
 PART, SHARED = 64, 16
 BATCH, EPOCHS, RATE = 128, 4, 0.01
@@ -261,8 +261,11 @@ class Network:
 
 
 def windows(n: int) -> np.ndarray:
-    """First word of every window of n words; each word lies in one, most in two."""
-    return np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE) if n > WINDOW else np.zeros(1, np.int64)
+    """First word of every window of n words; the last ends at the last word.
+
+    Any passage of up to WINDOW - STRIDE + 1 words lies whole in a window.
+    """
+    return np.r_[np.arange(0, n - WINDOW, STRIDE), n - WINDOW] if n > WINDOW else np.zeros(1, np.int64)
 
 
 def window_table(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

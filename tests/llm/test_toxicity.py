@@ -49,6 +49,14 @@ def test_windows_cover_every_word(n):
     assert sorted(set(place[there].tolist())) == list(range(n)) and len(place) >= 1
 
 
+@pytest.mark.parametrize("n", [17, 33, 47, 48, 49, 60, 200])
+def test_passages_lie_whole_in_a_window(n):
+    starts = tx.windows(n)
+    assert starts[-1] == max(0, n - tx.WINDOW)
+    for at in range(n - 16):
+        assert any(s <= at and at + 17 <= s + tx.WINDOW for s in starts.tolist())
+
+
 def made(seed, n):
     """Texts whose toxicity is a word, or a stem with any ending, at any place."""
     r = np.random.default_rng(seed)
