@@ -57,16 +57,31 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
 def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, computed once and written to the shared folder; later reads start from there."""
+    return stored_at(df, label)[0]
+
+
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for a caller that discards it when its last reader is done."""
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{label}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored_at`` wrote and nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def words_of(text: Column) -> Column:

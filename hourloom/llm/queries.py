@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from hourloom.llm import (
     bpe,
+    embedding_dedup,
     exact_dedup,
     katz,
     line_dedup,
+    merkle,
     minhash_dedup,
     packing,
     quality_classifier,
     quality_rules,
     sharding,
     toxicity,
+    vector_codes,
 )
-from hourloom.llm.common import documents, labels
+from hourloom.llm import sql as texts
+from hourloom.llm.common import documents, embeddings, labels, remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +160,35 @@ SHARDS = [f"shard-{i:03d}" for i in range(128)]
 @query()
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, folder).select("doc_id", "source"), ["doc_id"], SHARDS)
+
+
+@query(
+    texts.vector_codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
+)
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.vector_codes(embeddings(spark, folder), carry=["label"])
+    coded = found.rows.select("vec_id", "label", vector_codes.hex_code(F.col("entries")).alias("code"), "error")
+    rows = vector_codes.with_total(stored(coded, "coded"), "label", "error", "label_error")
+    digest = F.lit(found.digest()).alias("codebooks_sha256")
+    return rows.select("vec_id", "code", "error", "label_error", digest)
+
+
+@query(texts.embedding_dedup_sql(embedding_dedup.COSINE))
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(embeddings(spark, folder))
+
+
+@query(texts.merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) == 0)
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = merkle.manifest(documents(spark, folder), altered={"text": lower}, when=tampered)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
