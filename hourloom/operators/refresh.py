@@ -1,10 +1,14 @@
 """Date-partitioned Parquet tables and the ways a batch replaces part of one.
 
-Only the partitions a change touches are read or rewritten. Rewrites go through Spark's
-dynamic partition overwrite, which stages its files and swaps them in when the job
-commits, so a task or executor lost on the way leaves the table as it was. Partitions
-that must end up empty are removed afterwards; running the same call again gives the
-same table.
+Only the partitions a change touches are read or rewritten. Their new content is written
+once, to a folder beside the partitions that readers pass over. Then a note says which
+partitions it replaces, which it adds files to and which end up empty, and only then
+partition folders are moved. A call that stops before the note leaves the table as it
+was; one that stops after it is finished by the next call, which moves what is left.
+One writer at a time.
+
+What a finished call changed is kept as a list of dates until every reader that asked for
+changes has taken note of it, so what derives from the table can follow by dates.
 
 Rows without a date lie in no range, so a replacement never deletes them; those of a batch
 are added to them.
@@ -13,8 +17,10 @@ are added to them.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -23,11 +29,12 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.shared import new_folder
-
 # Fixed value: what Spark names the folder of rows without a partition value.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
+# Beside the partitions; readers pass over names that start like this.
+_STAGED, _PENDING, _CHANGES, _MARK = "_staged-", "_pending.json", "_changes", ".seen"
+
 
 class Refreshed(NamedTuple):
     deleted: int
@@ -76,10 +83,17 @@ def _hit(first: Column, last: Column | None, date: str, key=None) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+class Changes(NamedTuple):
+    """Dates changed since a reader last took note, and the number to take note with."""
+
+    dates: list[dt.date]
+    upto: int
+
+
 class _Batch(NamedTuple):
-    """A staged batch: its rows, its partitions, and what was counted while it was written."""
+    """A staged batch: its folder, its partitions, and what was counted while it was written."""
 
-    rows: DataFrame
+    folder: str
     labels: set[str]
     count: int
     first: dt.date | None
@@ -126,14 +140,15 @@ class DatedTable:
 
     def exists(self) -> bool:
         """Whether any partition is there."""
-        files, root = self._file_system()
-        return files.exists(root) and bool(self._folders())
+        return self._exists("") and bool(self._folders())
 
     def create(self, df: DataFrame) -> None:
         write_partitioned(self._stored(df), self.path, [self.partition], "overwrite", self.cluster_by)
 
     def append(self, df: DataFrame) -> None:
-        write_partitioned(self._stored(df), self.path, [self.partition], "append", self.cluster_by)
+        """Add rows; files already there stay as they are."""
+        with self._staged(df) as staged:
+            self._apply(self._note(staged.folder, add=staged.labels))
 
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Replace exactly the partitions ``df`` has rows for; others stay.
@@ -142,18 +157,22 @@ class DatedTable:
         """
         missing = F.raise_error(F.lit(f"{self.date} is NULL in rows that replace partitions"))
         dated = F.when(F.col(self.date).isNull(), missing.cast("boolean")).otherwise(True)
-        self._overwrite(df.where(dated))
-
-    def _overwrite(self, df: DataFrame) -> None:
-        spread = self._stored(df).hint("rebalance", self.partition)
-        if self.cluster_by:
-            spread = spread.sortWithinPartitions(self.partition, *self.cluster_by)
-        (
-            spread.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
-        )
+        with self._staged(df.where(dated)) as staged:
+            self._apply(self._note(staged.folder, install=staged.labels))
+
+    def replace_dates(self, rows: DataFrame, dates: Iterable[dt.date]) -> Refreshed:
+        """Replace exactly the partitions of these dates; those without rows are emptied.
+
+        For tables by day. A row of another date is refused.
+        """
+        wanted = {str(_as_date(d)) for d in dates}
+        with self._staged(rows) as staged:
+            if stray := staged.labels - wanted:
+                raise ValueError(f"rows of dates that are not replaced: {sorted(stray)[:5]}")
+            there = [_as_day(label) for label in wanted & set(self._folders())] if self.exists() else []
+            before = self.spark.read.parquet(self.path).where(F.col(self.date).isin(there)).count() if there else 0
+            self._apply(self._note(staged.folder, install=staged.labels, remove=wanted - staged.labels))
+            return Refreshed(before, staged.count)
 
     def replace_loaded_range(self, batch: DataFrame, key: tuple[str, object] | None = None) -> Refreshed:
         """Delete every row from the batch's first to its last date, then insert it.
@@ -162,74 +181,133 @@ class DatedTable:
         rows of that key value are deleted.
         """
         with self._staged(batch) as staged:
-            if staged.first is None:
-                if staged.count:
-                    self.append(staged.rows)
-                return Refreshed(0, staged.count)
-            return self._replace(staged, staged.first, staged.last, key)
+            return self._replace(staged, batch.columns, staged.first, staged.last, key)
 
     def replace_window(
         self, rows: DataFrame, first: dt.date, last: dt.date | None = None, key: tuple[str, object] | None = None
     ) -> Refreshed:
         """Delete ``date >= first`` (``<= last`` if given; of one key value if given), then insert ``rows``."""
         with self._staged(rows) as staged:
-            return self._replace(staged, first, last, key)
+            return self._replace(staged, rows.columns, first, last, key)
 
     @contextmanager
     def _staged(self, rows: DataFrame):
-        """The batch, computed once and written next to nothing else in the shared folder.
+        """The batch, computed and written once, beside the table's partitions.
 
-        It is then read several times, and it may derive from the table it will change.
+        It may derive from the table it will change.
         """
-        stage = DatedTable(self.spark, new_folder(self.spark, "batch"), self.date, self.grain)
+        self.recover()
+        folder = f"{_STAGED}{uuid.uuid4().hex}"
         seen = Observation()
         day = F.col(self.date)
         counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.min(day).alias("first"), F.max(day).alias("last"))
         try:
-            stage.create(counted)
-            labels = set(stage._folders())
-            back = stage.read().select(*rows.columns) if labels else rows.limit(0)
+            write_partitioned(self._stored(counted), f"{self.path}/{folder}", [self.partition], "overwrite", self.cluster_by)
+            labels = set(self._folders(folder))
             got = seen.get if labels else {"n": 0, "first": None, "last": None}
-            yield _Batch(back, labels, got["n"], got["first"], got["last"])
+            yield _Batch(folder, labels, got["n"], got["first"], got["last"])
         finally:
-            files, root = stage._file_system()
-            files.delete(root, True)
+            # After a note was written, the next call needs the folder.
+            if not self._exists(_PENDING):
+                self._delete(folder)
 
-    def _replace(self, batch: _Batch, first, last, key) -> Refreshed:
-        first, last = _as_date(first), _as_date(last)
-        rows, new_labels = batch.rows, batch.labels
-        if not self.exists():
-            if new_labels:
-                self._overwrite(rows)
+    def _replace(self, batch: _Batch, columns, first, last, key) -> Refreshed:
+        if first is None:  # no date at all: nothing to delete
+            self._apply(self._note(batch.folder, add=batch.labels))
             return Refreshed(0, batch.count)
-        if NO_DATE in new_labels:
-            old = self.spark.read.parquet(self.path).where(F.col(self.partition).isNull())
-            rows = rows.unionByName(old.select(*rows.columns))
-        touched = self._read_partitions(first, last).select(*rows.columns)
-        written = set(new_labels)
-        if self.grain == "day" and key is None:
-            before, kept_count, new = touched.count(), 0, rows
-        else:
-            stays = ~_hit(F.lit(first), None if last is None else F.lit(last), self.date, key)
-            label = F.when(stays, self._label(F.col(self.date)).cast("string"))
-            # One text per day or month that keeps rows.
-            found = touched.agg(
-                F.count(F.lit(1)).alias("before"), F.count_if(stays).alias("kept"), F.collect_set(label).alias("labels")
-            ).first()
-            before, kept_count = found["before"], found["kept"]
-            new = touched.where(stays).unionByName(rows) if kept_count else rows
-            written |= set(found["labels"])
-        existing = self._folders()
-        if written:
-            self._overwrite(new)
+        first, last = _as_date(first), _as_date(last)
         low = str(self._label_of(first))
         high = None if last is None else str(self._label_of(last))
-        self._remove(
-            folder
-            for label, folder in existing.items()
-            if label != NO_DATE and label >= low and (high is None or label <= high) and label not in written
-        )
-        return Refreshed(before - kept_count, batch.count)
+
+        def inside(labels) -> set[str]:
+            return {x for x in labels if x != NO_DATE and x >= low and (high is None or x <= high)}
+
+        there = inside(self._folders()) if self.exists() else set()
+        touched = self._read_partitions(first, last) if there else None
+        before = touched.count() if there else 0  # asks the files' footers only
+        kept = 0
+        if there and (self.grain != "day" or key is not None):
+            stays = ~_hit(F.lit(first), None if last is None else F.lit(last), self.date, key)
+            seen, written = Observation(), self._count_files(batch.folder)
+            rest = touched.select(*columns).where(stays).observe(seen, F.count(F.lit(1)).alias("kept"))
+            write_partitioned(self._stored(rest), f"{self.path}/{batch.folder}", [self.partition], "append", self.cluster_by)
+            # Nothing is observed where nothing was written.
+            kept = seen.get["kept"] if self._count_files(batch.folder) > written else 0
+        labels = set(self._folders(batch.folder))
+        install = inside(labels)
+        self._apply(self._note(batch.folder, install=install, add=labels - install, remove=there - install))
+        return Refreshed(before - kept, batch.count)
+
+    # What follows moves folders. The note names them; every step may be repeated.
+    def _note(self, folder: str, install: Iterable[str] = (), add: Iterable[str] = (), remove: Iterable[str] = ()) -> dict:
+        """Write down what is about to happen, before it happens."""
+        note = {"stage": folder, "install": sorted(install), "add": sorted(add), "remove": sorted(remove)}
+        note["number"] = 1 + max([0, *self._changed(), *self._marks().values()])
+        self._put(_PENDING, note)
+        return note
+
+    def _apply(self, note: dict) -> None:
+        staged = self._folders(note["stage"]) if self._exists(note["stage"]) else {}
+        for label in note["install"]:
+            if label in staged:  # else it was moved before
+                name = staged[label].getName()
+                self._delete(name)
+                self._move(f"{note['stage']}/{name}", name)
+        for label in note["add"]:
+            if label in staged:
+                name = staged[label].getName()
+                self._make(name)
+                for file in self._names(f"{note['stage']}/{name}"):
+                    self._move(f"{note['stage']}/{name}/{file}", f"{name}/{file}")
+        for label in note["remove"]:
+            self._delete(f"{self.partition}={label}")
+        changed = sorted({*note["install"], *note["add"], *note["remove"]} - {NO_DATE})
+        self._put(f"{_CHANGES}/{note['number']:012d}.json", changed)
+        self._delete(note["stage"])
+        self._delete(_PENDING)
+        self.spark.catalog.refreshByPath(self.path)
+
+    def recover(self) -> bool:
+        """Finish a call that stopped halfway, if there is one; True if there was."""
+        if not self._exists(""):
+            return False
+        stopped = self._exists(_PENDING)
+        if stopped:
+            self._apply(self._get(_PENDING))
+        for name in self._names(""):
+            if name.startswith(_STAGED) or name == f"{_PENDING}.new":  # of a call that stopped before its note
+                self._delete(name)
+        return stopped
+
+    def changes(self, reader: str) -> Changes:
+        """Dates changed since ``reader`` last took note; all dates there are if it never did.
+
+        For tables by day.
+        """
+        self.recover()
+        numbers, marks = self._changed(), self._marks()
+        upto = max([0, *numbers, *marks.values()])
+        if reader not in marks:
+            labels = set(self._folders()) - {NO_DATE} if self.exists() else set()
+        else:
+            labels = {x for n in numbers if n > marks[reader] for x in self._get(f"{_CHANGES}/{n:012d}.json")}
+        return Changes(sorted(map(_as_day, labels)), upto)
+
+    def take_note(self, reader: str, upto: int) -> None:
+        """``reader`` has followed all changes up to this number. What all readers have seen is forgotten."""
+        self._put(f"{_CHANGES}/{reader}{_MARK}", upto)
+        seen = min(self._marks().values())
+        for n in self._changed():
+            if n <= seen:
+                self._delete(f"{_CHANGES}/{n:012d}.json")
+
+    def _changed(self) -> list[int]:
+        names = self._names(_CHANGES) if self._exists(_CHANGES) else []
+        return sorted(int(x.removesuffix(".json")) for x in names if x.endswith(".json"))
+
+    def _marks(self) -> dict[str, int]:
+        names = self._names(_CHANGES) if self._exists(_CHANGES) else []
+        return {x.removesuffix(_MARK): self._get(f"{_CHANGES}/{x}") for x in names if x.endswith(_MARK)}
 
     def retain(self, as_of: dt.date, days: int) -> int:
         """Drop partitions that lie wholly before ``as_of - days``; returns how many.
@@ -238,8 +316,9 @@ class DatedTable:
         """
         limit = as_of - dt.timedelta(days=days)
         label = str(self._label_of(limit))
-        old = [f for name, f in self._folders().items() if name < label]
-        self._remove(old)
+        self.recover()
+        old = [name for name in self._folders() if name < label]
+        self._apply(self._note(f"{_STAGED}none", remove=old))
         if self.grain != "day" and limit.day > 1:
             month = self.spark.read.parquet(self.path).where(F.col("month") == label).drop("month")
             month_end = (limit.replace(day=1) + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
@@ -247,27 +326,68 @@ class DatedTable:
         return len(old)
 
     # Folder names are metadata: one short text per day or month.
-    def _folders(self) -> dict[str, object]:
-        files, root = self._file_system()
+    def _folders(self, inside: str = "") -> dict[str, object]:
+        files, at = self._at(inside)
         pattern = re.compile(re.escape(self.partition) + r"=(.+)$")
         found = {}
-        for status in files.listStatus(root):
+        for status in files.listStatus(at):
             match = pattern.match(status.getPath().getName())
             if match:
                 found[unquote(match.group(1))] = status.getPath()
         return found
 
-    def _remove(self, folders) -> None:
-        files, _ = self._file_system()
-        for folder in folders:
-            files.delete(folder, True)
-        self.spark.catalog.refreshByPath(self.path)
+    def _count_files(self, inside: str) -> int:
+        files, at = self._at(inside)
+        return files.getContentSummary(at).getFileCount()
 
-    def _file_system(self):
+    def _names(self, inside: str) -> list[str]:
+        files, at = self._at(inside)
+        return sorted(status.getPath().getName() for status in files.listStatus(at))
+
+    def _at(self, inside: str):
         jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), root
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{inside}" if inside else self.path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
+    def _exists(self, inside: str) -> bool:
+        files, at = self._at(inside)
+        return files.exists(at)
+
+    def _delete(self, inside: str) -> None:
+        files, at = self._at(inside)
+        files.delete(at, True)
+
+    def _make(self, inside: str) -> None:
+        files, at = self._at(inside)
+        files.mkdirs(at)
+
+    def _move(self, source: str, target: str) -> None:
+        (files, source_at), (_, target_at) = self._at(source), self._at(target)
+        if not files.rename(source_at, target_at):
+            raise OSError(f"cannot move {source_at} to {target_at}")
+
+    def _put(self, inside: str, value) -> None:
+        """A small note as a file, there in full or not at all."""
+        self._make(inside.rpartition("/")[0])
+        files, at = self._at(f"{inside}.new")
+        out = files.create(at, True)
+        out.write(bytearray(json.dumps(value).encode()))
+        out.close()
+        self._delete(inside)
+        self._move(f"{inside}.new", inside)
+
+    def _get(self, inside: str):
+        files, at = self._at(inside)
+        source = files.open(at)
+        try:
+            return json.loads(bytes(source.readAllBytes()))
+        finally:
+            source.close()
 
 
 def _as_date(value):
     return value.date() if isinstance(value, dt.datetime) else value
+
+
+def _as_day(label: str) -> dt.date:
+    return dt.date.fromisoformat(label)

@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,18 +170,122 @@ def test_partitions_are_not_replaced_by_rows_without_a_date(spark, tmp_path, gra
     assert sorted(r["v"] for r in table.read().collect()) == [1, 3, 4, 5]
 
 
-def test_a_failed_refresh_leaves_no_staged_batch(spark, tmp_path, monkeypatch):
-    import hourloom.operators.refresh as refresh
-
-    monkeypatch.setattr(refresh, "new_folder", lambda spark, label: str(tmp_path / "stage"))
+def test_a_failed_refresh_leaves_no_staged_batch(spark, tmp_path):
     table = _dated(spark, tmp_path, "day", OLD)
     bad = _odd(spark, OLD).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
     with pytest.raises(Exception):
         table.replace_loaded_range(bad)
-    assert not (tmp_path / "stage").exists()
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("_staged")]
     assert table.read().count() == 4
 
 
+class Stop(Exception):
+    pass
+
+
+def _stop_after(monkeypatch, steps):
+    """Let so many steps on folders and notes happen, then stop for good."""
+    left = [steps]
+
+    def counted(name, step):
+        def run(self, *args):
+            if left[0] == 0:
+                raise Stop
+            left[0] -= 1
+            return step(self, *args)
+
+        monkeypatch.setattr(DatedTable, name, run)
+
+    for name in ("_delete", "_move", "_put", "_make"):
+        counted(name, getattr(DatedTable, name))
+    return left
+
+
+CALLS = {
+    "range": lambda t, spark: t.replace_loaded_range(_rows(spark, [(D(2024, 1, 4), "a", 100), (D(2024, 1, 6), "c", 101)])),
+    "of key": lambda t, spark: t.replace_loaded_range(_rows(spark, [(D(2024, 1, 4), "a", 100), (D(2024, 1, 6), "a", 101)]), ("site", "a")),
+    "window": lambda t, spark: t.replace_window(_rows(spark, [(D(2024, 1, 8), "n", 1), (D(2024, 3, 1), "n", 2)]), D(2024, 1, 7), D(2024, 1, 9)),
+    "dates": lambda t, spark: t.replace_dates(_rows(spark, [(D(2024, 1, 2), "n", 1)]), [D(2024, 1, 2), D(2024, 1, 9)]),
+    "append": lambda t, spark: t.append(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2), (None, "u", 3)])),
+    "partitions": lambda t, spark: t.overwrite_partitions(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2)])),
+    "retention": lambda t, spark: t.retain(D(2024, 1, 10), 4),
+}
+
+
+@pytest.mark.parametrize("call", CALLS)
+def test_a_stopped_call_is_finished_by_the_next(spark, call, monkeypatch):
+    """Stopped at each step in turn: either nothing has happened, or the next call makes it whole."""
+    before = _table(spark)
+    old = sorted(map(tuple, before.read().collect()), key=str)
+
+    def copy():
+        table = DatedTable(spark, new_folder(spark, "t"))
+        shutil.copytree(before.path, table.path)
+        return table
+
+    table = copy()
+    CALLS[call](table, spark)
+    new = sorted(map(tuple, table.read().collect()), key=str)
+    changed = table.changes("none before").dates
+    steps = 0
+    while True:
+        table = copy()
+        table.take_note("mart", 0)
+        with monkeypatch.context() as patch:
+            left = _stop_after(patch, steps)
+            try:
+                CALLS[call](table, spark)
+                done = left[0] > 0
+            except Stop:
+                done = False
+        table = DatedTable(spark, table.path)  # another process
+        noted = table.recover()
+        found = sorted(map(tuple, table.read().collect()), key=str)
+        assert found in ((new,) if noted or done else (old, new)), steps
+        assert not [x for x in table._names("") if x.startswith(("_staged", "_pending"))]
+        if found == new:
+            assert set(table.changes("mart").dates) - set(changed) <= {D(2024, 1, d) for d in range(1, 10)}
+        if done:
+            break
+        steps += 1
+    assert steps >= 5
+
+
+def test_changes_are_told_until_every_reader_has_taken_note(spark):
+    table = _table(spark)
+    everything = [D(2024, 1, d) for d in range(1, 11)]
+    assert table.changes("a") == (everything, 0)  # a reader that never took note
+    for reader in ("a", "b"):
+        table.take_note(reader, table.changes(reader).upto)
+    assert table.changes("a").dates == []
+    CALLS["window"](table, spark)
+    CALLS["dates"](table, spark)
+    want = [D(2024, 1, 2), D(2024, 1, 7), D(2024, 1, 8), D(2024, 1, 9), D(2024, 3, 1)]
+    assert table.changes("a") == table.changes("b") == (want, 2)
+    table.take_note("a", 1)
+    assert table.changes("a").dates == [D(2024, 1, 2), D(2024, 1, 9)] and table.changes("b").dates == want
+    table.take_note("a", 2)
+    table.take_note("b", 2)
+    assert table.changes("b") == ([], 2) and table._changed() == []
+    CALLS["append"](table, spark)
+    assert table.changes("b") == ([D(2024, 1, 2), D(2024, 2, 2)], 3)
+
+
+def test_replaced_dates_are_exactly_those_named(spark):
+    table = _table(spark)
+    assert table.replace_dates(_rows(spark, [(D(2024, 1, 2), "n", 1)]), [D(2024, 1, 2), D(2024, 1, 9), D(2025, 1, 1)]) == (4, 1)
+    assert _content(table) == _want(lambda d, s: d not in (2, 9), [(2, "n", 1)])
+    with pytest.raises(ValueError, match="not replaced"):
+        table.replace_dates(_rows(spark, [(D(2024, 1, 3), "n", 1)]), [D(2024, 1, 2)])
+    assert _content(table) == _want(lambda d, s: d not in (2, 9), [(2, "n", 1)])
+
+
+def test_rows_beyond_the_window_are_added(spark):
+    table = _table(spark)
+    assert table.replace_window(_rows(spark, [(D(2024, 1, 5), "n", 1)]), D(2024, 1, 9), D(2024, 1, 9)) == (2, 1)
+    assert _content(table) == _want(lambda d, s: d != 9, [(5, "n", 1)])
+
+
 def test_appended_dates_are_one_file_each(spark, tmp_path):
     rows = _odd(spark, [("a", dt.date(2024, 1, 1 + i % 3), i) for i in range(300)]).repartition(4)
     append(rows, str(tmp_path / "t"), ["date"])
