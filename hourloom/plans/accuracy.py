@@ -16,17 +16,23 @@ RUN_DAYS = 14
 
 
 def prediction_accuracy(
-    predictions: DataFrame, energy: DataFrame, as_of: dt.date, keys: Sequence[str] = (), days: int = RUN_DAYS
+    predictions: DataFrame,
+    energy: DataFrame,
+    as_of: dt.date,
+    keys: Sequence[str] = (),
+    days: int | None = RUN_DAYS,
 ) -> DataFrame:
     """Forecasts of the last ``days`` days' runs against readings from before ``as_of``.
 
     The run date is the date of ``created_at``. Both windows are plain filters on the
-    sources, so they reach the scans.
+    sources, so they reach the scans. With ``days`` None, all runs and readings there are.
     """
     run_date = F.col("created_at").cast("date")
-    runs = predictions.where(
-        run_date.between(days_before(as_of, days), day(as_of)) & (F.col("prediction_date") < day(as_of))
-    ).select(
+    runs = predictions.where((run_date <= day(as_of)) & (F.col("prediction_date") < day(as_of)))
+    if days is not None:
+        runs = runs.where(run_date >= days_before(as_of, days))
+        energy = energy.where(F.col("date") >= days_before(as_of, days))
+    runs = runs.select(
         *keys,
         "execution_id",
         run_date.alias("prediction_run_date"),
@@ -35,9 +41,7 @@ def prediction_accuracy(
         "prediction_hour",
         F.col("predicted_power_kwh").alias("predicted_power"),
     )
-    readings = energy.where(
-        (F.col("date") >= days_before(as_of, days)) & (F.col("date") < day(as_of))
-    ).select(
+    readings = energy.where(F.col("date") < day(as_of)).select(
         *keys, F.col("date").alias("prediction_date"), F.col("hour").alias("prediction_hour"), "actual_power"
     )
     predicted, actual = F.col("predicted_power"), F.col("actual_power")

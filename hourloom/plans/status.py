@@ -37,7 +37,7 @@ def system_status(
     """Status, message and duration of each process's latest run, and of the latest finding.
 
     Always one row: a process without a run, and a missing finding, show WARNING. Among
-    findings of one timestamp the worst status wins, then check_type, then check_target;
+    findings of one timestamp the worst status wins, then check_type, check_target, issue_detail;
     among runs started together the greatest execution_id.
 
     Log and findings are folded into a single aggregate of "greatest by time" per
@@ -52,6 +52,7 @@ def system_status(
             F.lit(0).alias("severity"),
             F.col("execution_id").alias("first_tie"),
             F.lit("").alias("second_tie"),
+            F.lit("").alias("third_tie"),
         ).alias("rank"),
         F.struct(
             run_grade(F.col("status")).alias("status"),
@@ -66,6 +67,7 @@ def system_status(
             severity(F.col("status")).alias("severity"),
             F.col("check_type").alias("first_tie"),
             F.col("check_target").alias("second_tie"),
+            F.col("issue_detail").alias("third_tie"),  # findings of several groups
         ).alias("rank"),
         F.struct(
             F.col("status"), F.col("issue_detail").alias("message"), F.lit(None).cast("double").alias("seconds")

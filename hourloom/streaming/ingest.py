@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions.times import moment
+from hourloom.operators.dependencies import stretches
 from hourloom.operators.refresh import DatedTable
 from hourloom.shared import written
 from hourloom.sources import hourly_json, sectioned
@@ -143,7 +144,7 @@ def ingest_documents(
         rows = rows.join(newest, "date").where("path = by.path AND modified = by.modified").drop("by")
         rows = written(hourly_json.with_key(rows.drop("path", "modified"), *key), "documents")
         # One date per day that documents span; each stretch of days is one replacement.
-        for first, last in _stretches([r["date"] for r in newest.select("date").orderBy("date").collect()]):
+        for first, last in stretches([r["date"] for r in newest.select("date").orderBy("date").collect()]):
             stretch = rows.where(F.col("date").between(first, last))
             table.replace_window(_stamped(stretch, loaded_at), first, last, key)
 
@@ -155,14 +156,3 @@ def _of_newest(rows: DataFrame, day: Column) -> DataFrame:
     newest = rows.groupBy(day.alias("__day")).agg(F.max(F.struct("modified", "path")).alias("__by"))
     kept = rows.join(newest, day == F.col("__day")).where("path = __by.path AND modified = __by.modified")
     return kept.drop("__day", "__by", "path", "modified")
-
-
-def _stretches(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
-    """First and last day of each unbroken run of days."""
-    out: list[tuple[dt.date, dt.date]] = []
-    for day in days:
-        if out and day - out[-1][1] == dt.timedelta(days=1):
-            out[-1] = out[-1][0], day
-        else:
-            out.append((day, day))
-    return out
