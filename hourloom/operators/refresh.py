@@ -190,6 +190,31 @@ class DatedTable:
         with self._staged(rows) as staged:
             return self._replace(staged, rows.columns, first, last, key)
 
+    def replace_groups(self, rows: DataFrame, by: Sequence[str]) -> Refreshed:
+        """Delete the rows whose date and ``by`` occur in ``rows``, then insert these.
+
+        A file of one site and day so replaces that site's day alone. Rows without a date replace
+        nothing; a NULL in ``by`` is a value like others.
+        """
+        with self._staged(rows) as staged:
+            touched = sorted(staged.labels & set(self._folders()) - {NO_DATE}) if self.exists() else []
+            deleted = 0
+            if touched:
+                grain = [self.date, *by]
+                batch = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{staged.folder}")
+                batch = batch.withColumn(self.date, F.col(self.date).cast("date")).select(*grain).distinct()
+                old = self.spark.read.parquet(self.path).where(F.col(self.partition).isin(touched)).select(*rows.columns)
+                same = [old[c].eqNullSafe(batch[c]) for c in grain]
+                before, files = old.count(), self._count_files(staged.folder)
+                seen = Observation()
+                rest = old.join(batch, same, "left_anti").observe(seen, F.count(F.lit(1)).alias("kept"))
+                write_partitioned(self._stored(rest), f"{self.path}/{staged.folder}", [self.partition], "append", self.cluster_by)
+                kept = seen.get["kept"] if self._count_files(staged.folder) > files else 0
+                deleted = before - kept
+            dated = staged.labels - {NO_DATE}
+            self._apply(self._note(staged.folder, install=dated, add=staged.labels - dated))
+            return Refreshed(deleted, staged.count)
+
     @contextmanager
     def _staged(self, rows: DataFrame):
         """The batch, computed and written once, beside the table's partitions.

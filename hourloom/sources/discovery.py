@@ -46,11 +46,11 @@ def in_months(df: DataFrame, date: str, months: list[str]) -> DataFrame:
 
 
 def read_recent_files(
-    spark: SparkSession, root: str, as_of: dt.date, days: int, pattern: str = "*_power_usage.csv"
+    spark: SparkSession, root: str, as_of: dt.date, days: int, pattern: str = "*_power_usage.csv", times: bool = False
 ) -> DataFrame:
     """Files of the months in question under ``root/yyyyMM``; other months are not listed.
 
     Months without a folder are passed over; Spark fails if none has one.
     """
     months = ",".join(months_for_days(as_of, days))
-    return read_files(spark, f"{root.rstrip('/')}/{{{months}}}", pattern)
+    return read_files(spark, f"{root.rstrip('/')}/{{{months}}}", pattern, times)

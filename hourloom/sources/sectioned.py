@@ -33,21 +33,27 @@ def legacy_charsets(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def read_files(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """``(path, content)`` per file, not yet decoded."""
+def read_files(
+    spark: SparkSession, paths: str | list[str], pattern: str = "*.csv", times: bool = False
+) -> DataFrame:
+    """``(path, content)`` per file, not yet decoded; with ``times`` also ``modified``."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(paths)
-        .select("path", "content")
+        .select("path", *([F.col("modificationTime").alias("modified")] if times else []), "content")
     )
 
 
 def decode_files(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
-    """``(path, text)`` from ``(path, content)``."""
+    """``(path, text)`` from ``(path, content)``; other columns are carried along."""
     with legacy_charsets(files.sparkSession):
-        return files.select("path", F.decode("content", encoding).alias("text"))
+        return files.select(*_without(files, "content"), F.decode("content", encoding).alias("text"))
+
+
+def _without(df: DataFrame, column: str) -> list[str]:
+    return [c for c in df.columns if c != column]
 
 
 def _field(parts: Column, i: int) -> Column:
@@ -97,15 +103,15 @@ def _flaw(line: Column) -> Column:
 
 
 def _section(texts: DataFrame, marker: str, hours: int) -> DataFrame:
-    lines = F.split("text", "\n")
+    carried, lines = _without(texts, "text"), F.split("text", "\n")
     at = F.array_position(F.transform(lines, lambda x: x.contains(marker)), True)
     return (
-        texts.select("path", lines.alias("lines"), at.alias("at"))
-        .select("path", "at", F.slice("lines", (F.col("at") + 1).cast("int"), hours).alias("block"))
+        texts.select(*carried, lines.alias("lines"), at.alias("at"))
+        .select(*carried, "at", F.slice("lines", (F.col("at") + 1).cast("int"), hours).alias("block"))
         # One function per step, so that each value is worked out once per line.
-        .select("path", "at", F.transform("block", _strip).alias("block"))
-        .select("path", "at", F.transform("block", _split_line).alias("block"))
-        .select("path", "at", F.transform("block", _parse_line).alias("parsed"))
+        .select(*carried, "at", F.transform("block", _strip).alias("block"))
+        .select(*carried, "at", F.transform("block", _split_line).alias("block"))
+        .select(*carried, "at", F.transform("block", _parse_line).alias("parsed"))
     )
 
 
@@ -131,7 +137,7 @@ def extract_strict(texts: DataFrame, marker: str = MARKER, hours: int = HOURS) -
             r["supply_capacity"].alias("supply_capacity"),
         ),
     )
-    return _section(texts, marker, hours).select("path", reason.alias("reason"), rows.alias("rows"))
+    return _section(texts, marker, hours).select(*_without(texts, "text"), reason.alias("reason"), rows.alias("rows"))
 
 
 def extract_lenient(texts: DataFrame, marker: str = MARKER, hours: int = HOURS) -> DataFrame:
@@ -167,7 +173,7 @@ def extract_lenient(texts: DataFrame, marker: str = MARKER, hours: int = HOURS)
             r["supply_capacity"].alias("supply_capacity"),
         ),
     )
-    return _section(texts, marker, hours).select("path", reason.alias("reason"), rows.alias("rows"))
+    return _section(texts, marker, hours).select(*_without(texts, "text"), reason.alias("reason"), rows.alias("rows"))
 
 
 def unpack(extracted: DataFrame, fail: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.functions.measures import value_map
@@ -22,6 +22,7 @@ from hourloom.sources.tables import (
     export_jsonl,
     scan_range,
 )
+from hourloom.streaming.files import load_recent_months, stream_files
 from hourloom.streaming.ingest import ingest_documents
 from hourloom.workload import adapters
 from hourloom.workload.registry import query
@@ -39,14 +40,14 @@ def _site_hours(spark: SparkSession, folder: str) -> DataFrame:
     return adapters.energy(spark, folder, ["event_type"]).withColumnRenamed("event_type", "site")
 
 
-def _sectioned_files(spark: SparkSession, folder: str) -> DataFrame:
+def _sectioned_files(spark: SparkSession, folder: str, factor: float = 1.0) -> DataFrame:
     """A file per site and day, at most 24 lines; some hours are absent, some unreadable."""
     unreadable = (F.col("site") == "error") & (F.dayofmonth("date") % 10 == 3) & (F.col("hour") == 5)
     line = F.concat_ws(
         ",",
         F.date_format("date", "y/M/d"),
         F.concat(F.col("hour").cast("string"), F.lit(":00")),
-        F.when(unreadable, "-").otherwise(F.col("actual_power").cast("string")),
+        F.when(unreadable, "-").otherwise((F.col("actual_power") * factor).cast("string")),
         F.lit("0"),
         F.lit("0"),
         F.col("supply_capacity").cast("string"),
@@ -444,3 +445,101 @@ def export_per_key(spark, folder):
     )
     export_by_key(joined, "prefecture", path)
     return spark.read.schema(joined.schema).option("header", "true").csv(path)
+
+
+def _write_files(files: DataFrame, path: str) -> None:
+    """One text file each, in a folder per site."""
+    files.select("site", "text").write.mode("append").option("maxRecordsPerFile", 1).partitionBy("site").text(path)
+
+
+def _file_texts(spark: SparkSession, folder: str, factor: float = 1.0) -> DataFrame:
+    """``(site, date, text)`` of the sectioned files, readings multiplied."""
+    with sectioned.legacy_charsets(spark):
+        text = F.decode("content", sectioned.ENCODING)
+        bits = F.split("path", "/")
+        return _sectioned_files(spark, folder, factor).select(
+            bits[0].alias("site"), bits[1].cast("date").alias("date"), text.alias("text")
+        )
+
+
+_TWICE = "site = 'view' AND day(date) BETWEEN 5 AND 12"
+_DELIVERED = f"""SELECT site, date, hour, if({_TWICE}, actual_power * 2, actual_power) AS actual_power, supply_capacity,
+    TIMESTAMP '2024-02-01' AS created_at
+  FROM site_hours JOIN files ON path = site || '/' || CAST(date AS VARCHAR) WHERE n = 24 AND NOT broken"""
+
+
+def _twice() -> Column:
+    return (F.col("site") == "view") & F.dayofmonth("date").between(5, 12)
+
+
+def _site_key() -> dict[str, Column]:
+    return {"site": F.regexp_extract("path", "site=([^/]+)", 1)}
+
+
+def _streamed(spark: SparkSession, folder: str) -> tuple[DatedTable, str]:
+    """Files in two deliveries, the second with some files of the first again, and a run after each."""
+    inbox, record, checkpoint = (new_folder(spark, x) for x in ("inbox", "record", "checkpoint"))
+    loaded = DatedTable(spark, new_folder(spark, "power"), cluster_by=["site", "hour"])
+    early = F.dayofmonth("date") <= 20
+    _write_files(_file_texts(spark, folder).where(early), f"{inbox}/first")
+    for delivery in ("first", "second"):
+        if delivery == "second":
+            _write_files(_file_texts(spark, folder).where(~early), f"{inbox}/second")
+            _write_files(_file_texts(spark, folder, 2.0).where(_twice()), f"{inbox}/second")
+        run = stream_files(
+            spark, inbox, loaded, record, checkpoint, _site_key(), dt.datetime(2024, 2, 1), "*.txt", "UTF-8"
+        )
+        run.awaitTermination()
+    return loaded, record
+
+
+@query(over("", _DELIVERED, site_hours=_SITE_HOURS, files=_FILES))
+def files_streamed(spark, folder):
+    """Each date of each site once, as the last delivery had it."""
+    return _streamed(spark, folder)[0].read()
+
+
+@query(
+    over(
+        "",
+        f"""SELECT batch, site, status, error, COUNT(*) AS files, CAST(SUM(row_count) AS BIGINT) AS rows FROM (
+          SELECT site, if(broken OR n < 24, 'failed', 'success') AS status,
+            CASE WHEN broken THEN 'unreadable field' WHEN n < 24 THEN 'blank line' END AS error,
+            if(broken OR n < 24, 0, n) AS row_count,
+            unnest(if({_TWICE}, [if(day(date) <= 20, 0, 1), 1], [if(day(date) <= 20, 0, 1)])) AS batch
+          FROM (SELECT *, split_part(path, '/', 1) AS site, CAST(split_part(path, '/', 2) AS DATE) AS date FROM files))
+        GROUP BY ALL""",
+        site_hours=_SITE_HOURS,
+        files=_FILES,
+    )
+)
+def stream_record(spark, folder):
+    """What became of the files, run by run: a run read the files new to it and no others."""
+    _, record = _streamed(spark, folder)
+    outcomes = spark.read.parquet(record).groupBy("batch", "site", "status", "error")
+    return outcomes.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows"))
+
+
+@query(
+    over(
+        "",
+        f"""SELECT d.*, good, bad FROM ({_DELIVERED}) d, (SELECT COUNT(*) FILTER (WHERE n = 24 AND NOT broken) AS good,
+          COUNT(*) FILTER (WHERE n < 24 OR broken) AS bad FROM (FROM files UNION ALL (SELECT path, n, broken FROM
+            (SELECT *, split_part(path, '/', 1) AS site, CAST(split_part(path, '/', 2) AS DATE) AS date FROM files)
+            WHERE {_TWICE})))""",
+        site_hours=_SITE_HOURS,
+        files=_FILES,
+    )
+)
+def month_folders_loaded(spark, folder):
+    """All files of the month folders in question; those of the month before are left where they are."""
+    root = new_folder(spark, "raw")
+    _write_files(_file_texts(spark, folder), f"{root}/202401")
+    _write_files(_file_texts(spark, folder, 9.0), f"{root}/202312")
+    _write_files(_file_texts(spark, folder, 2.0).where(_twice()), f"{root}/202401")
+    loaded = DatedTable(spark, new_folder(spark, "power"), cluster_by=["site", "hour"])
+    ran = load_recent_months(
+        spark, root, adapters.AS_OF, 5, loaded, new_folder(spark, "record"), _site_key(), dt.datetime(2024, 2, 1),
+        "*.txt", "UTF-8",
+    )
+    return loaded.read().withColumns({"good": F.lit(ran.good).cast("long"), "bad": F.lit(ran.bad).cast("long")})

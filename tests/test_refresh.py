@@ -206,6 +206,7 @@ CALLS = {
     "of key": lambda t, spark: t.replace_loaded_range(_rows(spark, [(D(2024, 1, 4), "a", 100), (D(2024, 1, 6), "a", 101)]), ("site", "a")),
     "window": lambda t, spark: t.replace_window(_rows(spark, [(D(2024, 1, 8), "n", 1), (D(2024, 3, 1), "n", 2)]), D(2024, 1, 7), D(2024, 1, 9)),
     "dates": lambda t, spark: t.replace_dates(_rows(spark, [(D(2024, 1, 2), "n", 1)]), [D(2024, 1, 2), D(2024, 1, 9)]),
+    "groups": lambda t, spark: t.replace_groups(_rows(spark, [(D(2024, 1, 2), "a", 1), (D(2024, 1, 3), "b", 2)]), ["site"]),
     "append": lambda t, spark: t.append(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2), (None, "u", 3)])),
     "partitions": lambda t, spark: t.overwrite_partitions(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2)])),
     "retention": lambda t, spark: t.retain(D(2024, 1, 10), 4),
