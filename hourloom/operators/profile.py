@@ -46,7 +46,7 @@ def range_profile(
     return df.agg(*aggregates).select(*shown, *counts)
 
 
-def _null_flags(columns: Sequence[str]) -> Column:
+def null_flags(columns: Sequence[str]) -> Column:
     """How many of ``columns`` are NULL in a row."""
     parts = [F.col(c).isNull().cast("int") for c in columns]
     return sum(parts[1:], parts[0])
@@ -59,6 +59,11 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     counted = df.agg(
         F.count("*").alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]
     )
+    return as_null_profile(counted, {c: types[c] for c in columns})
+
+
+def as_null_profile(counted: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """The profile from one row of ``__rows`` and the NULL count of each column."""
     rows = F.array(
         *[
             F.struct(
@@ -67,7 +72,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
                 F.when(F.col("__rows") > 0, F.col(c) / F.col("__rows") * 100).alias("missing_percentage"),
                 F.lit(types[c]).alias("data_type"),
             )
-            for c in columns
+            for c in types
         ]
     )
     return counted.select(F.inline(rows)).orderBy(F.desc("missing_count"), "column")
@@ -77,7 +82,7 @@ def missing_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """One row: cells, NULL cells and their share, and complete / partial / empty rows."""
     columns = list(columns or df.columns)
     width = len(columns)
-    flagged = df.select(_null_flags(columns).alias("nulls"))
+    flagged = df.select(null_flags(columns).alias("nulls"))
     return flagged.agg(
         F.count("*").alias("total_rows"),
         F.lit(width).cast("long").alias("total_columns"),
@@ -95,7 +100,7 @@ def missing_by_day(df: DataFrame, columns: Sequence[str] | None = None, date: st
     columns = list(columns or df.columns)
     flagged = df.select(
         F.col(date).cast("date").alias("day"),
-        _null_flags(columns).alias("__nulls"),
+        null_flags(columns).alias("__nulls"),
         *[F.col(c).isNull().alias(f"{c}_missing") for c in columns],
     )
     return flagged.groupBy("day").agg(
@@ -113,16 +118,21 @@ def worst_days(by_day: DataFrame, measure: str, k: int) -> DataFrame:
 def missing_verdict(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: how many cells an incomplete row lacks on average, and the pattern."""
     columns = list(columns or df.columns)
-    flagged = df.select(_null_flags(columns).alias("nulls"))
+    flagged = df.select(null_flags(columns).alias("nulls"))
     totals = flagged.agg(
         F.count_if(F.col("nulls") > 0).alias("missing_rows"),
         F.coalesce(F.sum("nulls"), F.lit(0)).cast("long").alias("missing_cells"),
     )
+    return as_verdict(totals, len(columns))
+
+
+def as_verdict(totals: DataFrame, width: int) -> DataFrame:
+    """Average and pattern beside ``missing_rows`` and ``missing_cells`` of so many columns."""
     average = F.when(F.col("missing_rows") > 0, F.col("missing_cells") / F.col("missing_rows"))
     return totals.withColumn("cells_per_row", F.coalesce(average, F.lit(0.0))).withColumn(
         "pattern",
         F.when(F.col("missing_rows") == 0, "none")
-        .when(F.col("cells_per_row") >= len(columns) * ALL_COLUMNS_SHARE, "all")
+        .when(F.col("cells_per_row") >= width * ALL_COLUMNS_SHARE, "all")
         .when(F.col("cells_per_row") <= FEW_CELLS, "partial")
         .otherwise("mixed"),
     )
@@ -139,6 +149,11 @@ def gaps_by_previous_day(
     days = df.groupBy(F.col(date).alias("day")).agg(
         F.count_if(F.col(column).isNull()).alias("missing_count"), F.max(holiday).alias("flag")
     )
+    return previous_day(days)
+
+
+def previous_day(days: DataFrame) -> DataFrame:
+    """Days with gaps and what the day before was, from ``(day, missing_count, flag)``."""
     before = days.select(F.date_add("day", 1).alias("day"), F.col("flag").alias("flag_before"))
     return (
         days.where("missing_count > 0")
