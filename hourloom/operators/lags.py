@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.operators.joins import BROADCAST_ROWS, is_small
+from hourloom.operators.joins import BROADCAST_ROWS, is_small, small_side
+from hourloom.shared import written
 
 # Slots that share a 64-bit word; sums of this many different bits, repeated, stay apart from overflow.
 SLOTS_OF_WORD = 31
+#: Salts that the rows of a crowded date are dealt to at most.
+SALTS = 64
 
 
 def lag_by_date(
@@ -21,6 +24,7 @@ def lag_by_date(
     keys: Sequence[str] = ("hour",),
     date: str = "date",
     unique: bool = False,
+    crowded: int | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``lags`` (new name -> date column of ``mapping``).
 
@@ -30,14 +34,37 @@ def lag_by_date(
     along to the date that looks back at them, so it adds a shuffle of narrow rows.
     ``mapping`` has one row per date.
 
+    ``crowded`` is a number of rows: a key's dates with more of them, and the dates that look back at
+    these, are joined apart with salts (see ``_crowded``). This counts the rows per key and
+    date now.
+
     ``unique=True`` says (keys, date) is unique and not NULL. Then each row is sent
     forward to the dates that look back at it, and a single shuffle on (keys, date)
     gathers a row with all its lags. A repeated grain fails the query.
     """
     if unique:
         return _send_forward(df, mapping, value, lags, keys, date)
+    if crowded is None:
+        return _joined(df, df, mapping, value, lags, keys, date)
+    grain = [*keys, date]
+    counts = df.groupBy(*grain).agg(F.count("*").alias("__n")).where((F.col("__n") > crowded) & _all_there(grain))
+    crowds = written(counts, "crowds")  # at most one row per ``crowded`` rows
+    if crowds.isEmpty():
+        return _joined(df, df, mapping, value, lags, keys, date)
+    looking = _links(mapping, lags).join(small_side(crowds), F.col("__from") == F.col(date))
+    apart = looking.select(*keys, F.col("target").alias(date)).unionByName(crowds.select(*grain)).distinct()
+    apart = written(apart.join(crowds, grain, "left"), "crowded-dates")
+    plain = df.join(small_side(apart.select(*grain)), grain, "left_anti")
+    past = df.join(small_side(crowds), grain, "left_anti")
+    rest = df.join(small_side(apart), grain)  # a crowded date's rows carry their number
+    found = _crowded(rest, df, mapping, value, lags, keys, date, crowded).select(*df.columns, *lags)
+    return _joined(plain, past, mapping, value, lags, keys, date).unionByName(found)
+
+
+def _joined(df, earlier, mapping, value, lags, keys, date) -> DataFrame:
+    """Rows of ``df`` beside values of ``earlier``, one join per lag."""
     out, small = df, is_small(mapping)
-    past = df.select(
+    past = earlier.select(
         *[F.col(k).alias(f"__{k}") for k in keys], F.col(date).alias("__date"), F.col(value).alias("__value")
     )
     for name, mapped_date in lags.items():
@@ -53,19 +80,66 @@ def lag_by_date(
     return out.select(*df.columns, *lags)
 
 
+def _all_there(columns: Sequence[str]) -> Column:
+    there = F.lit(True)
+    for c in columns:
+        there = there & F.col(c).isNotNull()
+    return there
+
+
+def _links(mapping: DataFrame, lags: Mapping[str, str]) -> DataFrame:
+    """``(target, slot, __from)``: which dates look back at which, lag by lag from 1."""
+    froms = [F.struct(F.lit(i).alias("slot"), F.col(c).alias("__from")) for i, c in enumerate(lags.values(), start=1)]
+    links = mapping.select(F.col("base_date").alias("target"), F.inline(F.array(*froms)))
+    # A date that maps to nothing, such as a weekend's business lag, has no row here.
+    return links.where("__from IS NOT NULL AND target IS NOT NULL")
+
+
+def _sent(past: DataFrame, mapping: DataFrame, value: str, lags: Mapping[str, str], keys: Sequence[str], date: str) -> DataFrame:
+    """``(keys, target, slot, value)``: each value at the dates that look back at it."""
+    links = _links(mapping, lags)
+    narrow = past.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col(date).alias("__date"), F.col(value).alias("__value")
+    )
+    if is_small(mapping, BROADCAST_ROWS // len(lags)):
+        links = F.broadcast(links)
+    sent = narrow.join(links, F.col("__date") == F.col("__from"))
+    return sent.select(*[f"__{k}" for k in keys], F.col("target").alias("__target"), "slot", "__value")
+
+
+def _crowded(df, past, mapping, value, lags, keys, date, crowd: int) -> DataFrame:
+    """Rows of crowded dates, and of those that look back at one, joined row by row.
+
+    Equal rows go together as one with a count, and so do equal values; the rows of a crowded date are
+    then dealt to several salts by what they hold, and what they look up is repeated for each
+    salt. So no task holds a crowded date, on either side.
+    """
+    own = [c for c in df.columns if c != "__n"]
+    rows = df.groupBy(*df.columns).agg(F.count("*").alias("__times"))
+    salts = F.least(F.lit(SALTS), F.ceil(F.coalesce("__n", F.lit(1)) / crowd)).cast("int")
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*own), salts).cast("int"))
+    spread = df.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(date).alias("__target"), salts.alias("__salts")).distinct()
+    grain = [*[f"__{k}" for k in keys], "__target"]
+    sent = _sent(past, mapping, value, lags, keys, date).join(small_side(spread), grain)
+    sent = sent.groupBy(*grain, "__salts", "slot", "__value").agg(F.count("*").alias("__copies"))
+    sent = sent.withColumn("__of", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+    out = rows
+    for i, name in enumerate(lags, start=1):
+        match = (F.col(date) == F.col("__target")) & (F.col("__salt") == F.col("__of"))
+        for k in keys:
+            match = match & (F.col(k) == F.col(f"__{k}"))
+        found = sent.where(F.col("slot") == i).select(*grain, "__of", F.col("__value").alias(name), F.col("__copies").alias("__more"))
+        out = out.join(found, match, "left").withColumn("__times", F.col("__times") * F.coalesce("__more", F.lit(1)))
+        out = out.drop(*grain, "__of", "__more")
+    # A row for each time it occurs; the counts may be large, so not as one list.
+    whole = out.withColumn("__turn", F.explode(F.sequence(F.lit(0), F.floor((F.col("__times") - 1) / crowd))))
+    last = F.least(F.lit(crowd), F.col("__times") - F.col("__turn") * crowd).cast("int")
+    return whole.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), last)))
+
+
 def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
     others = [c for c in df.columns if c not in keys and c != date]
-    links = mapping.select(
-        F.col("base_date").alias("target"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("slot"), F.col(c).alias("__from"))
-                    for i, c in enumerate(lags.values(), start=1)
-                ]
-            )
-        ),
-    ).where("__from IS NOT NULL AND target IS NOT NULL")
+    links = _links(mapping, lags)
     # One row per date; the list holds the few dates that look back at it.
     forward = links.groupBy("__from").agg(F.collect_list(F.struct("target", "slot")).alias("__to"))
     if is_small(mapping, BROADCAST_ROWS // len(lags)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from hourloom.operators.calendar import date_lag_mapping
@@ -111,6 +113,25 @@ def lag_join_repeated_rows(spark, folder):
     return lag_by_date(rows, adapters.ship_lag_mapping(spark, folder), "revenue", _LAGS, ["l_suppkey"])
 
 
+@query(
+    over(
+        "mapping",
+        """SELECT r.user_id, r.date, r.event_id, r.value, a.value AS lag_1_day, b.value AS lag_7_day,
+          c.value AS lag_1_business_day FROM crowded r LEFT JOIN mapping m ON r.date = m.base_date
+        LEFT JOIN crowded a ON a.user_id = r.user_id AND a.date = m.lag_1_day_date
+        LEFT JOIN crowded b ON b.user_id = r.user_id AND b.date = m.lag_7_day_date
+        LEFT JOIN crowded c ON c.user_id = r.user_id AND c.date = m.lag_1_business_date""",
+        crowded="""SELECT user_id, CASE WHEN event_id % 3 = 0 THEN DATE '2024-01-10' ELSE CAST(ts AS DATE) END AS date,
+          event_id, value FROM events""",
+    )
+)
+def lag_join_crowded_day(spark, folder):
+    """A third of all rows came in on one day: those days of a user are joined with salts."""
+    day = F.when(F.col("event_id") % 3 == 0, F.lit(dt.date(2024, 1, 10))).otherwise(F.col("ts").cast("date"))
+    rows = adapters.events(spark, folder).select("user_id", day.alias("date"), "event_id", "value")
+    return lag_by_date(rows, adapters.lag_mapping(spark, folder), "value", _LAGS, ["user_id"], crowded=10)
+
+
 @query(
     over(
         "site_energy site_predictions",

@@ -51,6 +51,36 @@ def test_rows_without_a_business_lag_do_not_share_a_key(spark, rows):
     assert "(date#" in looked_up and "coalesce(lag_1_business_date" not in looked_up
 
 
+def test_a_crowded_hour_multiplies_whole_and_salted(spark):
+    """One hour of one site is repeated: equal rows, other rows, and NULL values among them."""
+    mapping = date_lag_mapping(calendar_frame(spark, FIRST, dt.date(2024, 1, 31)), [1, 7], [1]).cache()
+    hot = dt.date(2024, 1, 10)
+    normal = spark.range(28 * 3).select(
+        (F.col("id") % 3).cast("int").alias("site"), F.date_add(F.lit(FIRST), (F.col("id") / 3).cast("int")).alias("date"),
+        F.col("id").cast("double").alias("actual_power"), F.lit("x").alias("note"),
+    )
+    many = spark.range(2000).select(
+        F.lit(1).alias("site"), F.lit(hot).alias("date"),
+        F.when(F.col("id") < 1500, 5.0).when(F.col("id") % 50 != 0, F.col("id") % 120).cast("double").alias("actual_power"),
+        F.when(F.col("id") % 2 == 0, "y").otherwise("z").alias("note"),
+    )
+    odd = spark.createDataFrame([(None, hot, 1.0, "n"), (1, None, 2.0, "n"), (1, dt.date(2030, 1, 1), 3.0, "n")], normal.schema)
+    df = normal.unionByName(many).unionByName(odd)
+    got = lag_by_date(df, mapping, "actual_power", LAGS, ["site"], crowded=100)
+    df.createOrReplaceTempView("crowded_rows")
+    mapping.createOrReplaceTempView("crowded_mapping")
+    joins = " ".join(
+        f"LEFT JOIN crowded_rows {t} ON {t}.site = r.site AND {t}.date = m.{column}" for t, column in zip("abc", LAGS.values())
+    )
+    shown = ", ".join(f"{t}.actual_power AS {name}" for t, name in zip("abc", LAGS))
+    want = spark.sql(f"SELECT r.*, {shown} FROM crowded_rows r LEFT JOIN crowded_mapping m ON r.date = m.base_date {joins}")
+    columns = want.columns
+    counted = [{tuple(r[:-1]): r[-1] for r in x.groupBy(*columns).count().collect()} for x in (got, want)]
+    assert counted[0] == counted[1] and sum(counted[0].values()) > 8000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "__of" in plan
+
+
 def test_quality_of_a_hot_group(rows):
     period = (FIRST, FIRST + dt.timedelta(days=27))
     checks = quality_checks(rows, "power", power_rules(), period, dt.date(2024, 1, 31), by=["site"])
