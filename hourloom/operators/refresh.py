@@ -20,7 +20,7 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -264,9 +264,16 @@ class DatedTable:
         return Refreshed(before - kept, batch.count)
 
     # What follows moves folders. The note names them; every step may be repeated.
-    def _note(self, folder: str, install: Iterable[str] = (), add: Iterable[str] = (), remove: Iterable[str] = ()) -> dict:
+    def _note(
+        self,
+        folder: str,
+        install: Iterable[str] = (),
+        add: Iterable[str] = (),
+        remove: Iterable[str] = (),
+        same_rows: bool = False,
+    ) -> dict:
         """Write down what is about to happen, before it happens."""
-        note = {"stage": folder, "install": sorted(install), "add": sorted(add), "remove": sorted(remove)}
+        note = {"stage": folder, "install": sorted(install), "add": sorted(add), "remove": sorted(remove), "same": same_rows}
         note["number"] = 1 + max([0, *self._changed(), *self._marks().values()])
         self._put(_PENDING, note)
         return note
@@ -287,7 +294,8 @@ class DatedTable:
         for label in note["remove"]:
             self._delete(f"{self.partition}={label}")
         changed = sorted({*note["install"], *note["add"], *note["remove"]} - {NO_DATE})
-        self._put(f"{_CHANGES}/{note['number']:012d}.json", changed)
+        if not note["same"]:
+            self._put(f"{_CHANGES}/{note['number']:012d}.json", changed)
         self._delete(note["stage"])
         self._delete(_PENDING)
         self.spark.catalog.refreshByPath(self.path)
@@ -334,6 +342,32 @@ class DatedTable:
         names = self._names(_CHANGES) if self._exists(_CHANGES) else []
         return {x.removesuffix(_MARK): self._get(f"{_CHANGES}/{x}") for x in names if x.endswith(_MARK)}
 
+    def file_sizes(self) -> dict[str, list[int]]:
+        """Bytes of each file, per partition: names and sizes only."""
+        files, root = self._at("")
+        if not files.exists(root):
+            return {}
+        sizes = {}
+        for label, folder in self._folders().items():
+            found = files.listStatus(folder)
+            sizes[label] = [x.getLen() for x in found if not x.getPath().getName().startswith(("_", "."))]
+        return sizes
+
+    def rewrite(self, labels: Iterable[str], arranged: Callable[[DataFrame], DataFrame]) -> None:
+        """Write some partitions again with the same rows, arranged over tasks and ordered as wanted.
+
+        Readers of changes are not told: no row has changed.
+        """
+        wanted = sorted(set(labels))
+        if not wanted:
+            return
+        self.recover()
+        rows = self.spark.read.parquet(self.path)
+        name = F.coalesce(F.col(self.partition).cast("string"), F.lit(NO_DATE))
+        folder = f"{_STAGED}{uuid.uuid4().hex}"
+        arranged(rows.where(name.isin(wanted))).write.partitionBy(self.partition).parquet(f"{self.path}/{folder}")
+        self._apply(self._note(folder, install=wanted, same_rows=True))
+
     def retain(self, as_of: dt.date, days: int) -> int:
         """Drop partitions that lie wholly before ``as_of - days``; returns how many.
 

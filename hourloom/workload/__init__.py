@@ -7,6 +7,6 @@ from types import ModuleType
 
 def load() -> ModuleType:
     """Import every query module; returns the registry they filled."""
-    from hourloom.workload import aggregates, daily, ingestion, joins, marts, refreshes, registry, rows, state, trees  # noqa: F401
+    from hourloom.workload import aggregates, daily, ingestion, joins, layouts, marts, refreshes, registry, rows, state, trees  # noqa: F401
 
     return registry

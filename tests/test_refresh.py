@@ -209,6 +209,7 @@ CALLS = {
     "groups": lambda t, spark: t.replace_groups(_rows(spark, [(D(2024, 1, 2), "a", 1), (D(2024, 1, 3), "b", 2)]), ["site"]),
     "append": lambda t, spark: t.append(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2), (None, "u", 3)])),
     "partitions": lambda t, spark: t.overwrite_partitions(_rows(spark, [(D(2024, 1, 2), "n", 1), (D(2024, 2, 2), "n", 2)])),
+    "rewrite": lambda t, spark: t.rewrite(["2024-01-02", "2024-01-03"], lambda rows: rows.coalesce(1)),
     "retention": lambda t, spark: t.retain(D(2024, 1, 10), 4),
 }
 
