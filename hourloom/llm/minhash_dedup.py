@@ -33,6 +33,8 @@ PERCENT = 75
 BLOCK_SETS = 512
 #: Shingles hashed at a time, and words remembered in a task.
 BLOCK, REMEMBERED = 1 << 15, 500_000
+#: Bits of the map that finds the texts asked for again.
+MAP_BITS = 1 << 27
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -149,10 +151,27 @@ def table_keys(classes: DataFrame) -> DataFrame:
     return both.select(F.xxhash64("a.i", "a.k", "b.i", "b.k").alias("key"), "node")
 
 
+def _maybe_among(rows: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """Rows whose key may be one of those asked for; all that are stay, a few others may.
+
+    The keys' hashes are bits of a map of ``MAP_BITS`` bits, 16 MB at most whatever the input, in
+    pieces that are broadcast.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(MAP_BITS)) + 1
+    pieces = asked.select(F.bitmap_bucket_number(at).alias("__piece"), F.bitmap_bit_position(at).alias("__bit"))
+    pieces = pieces.groupBy("__piece").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    placed = rows.withColumns({"__piece": F.bitmap_bucket_number(at), "__bit": F.bitmap_bit_position(at)})
+    byte = "conv(hex(substring(__map, cast(__bit div 8 as int) + 1, 1)), 16, 10)"
+    hit = F.expr(f"getbit(cast({byte} as int), cast(__bit % 8 as int)) = 1")
+    return placed.join(F.broadcast(pieces), "__piece").where(hit).select(*rows.columns)
+
+
 def _sets_of(nodes: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, s): full shingle sets of the nodes, from the texts of one row of each class."""
-    asked = nodes.distinct().join(classes, "node").select("node", "set_key", "low_id")
-    rows = wanted.join(asked.select("low_id").distinct(), wanted["doc_id"].eqNullSafe(F.col("low_id")), "left_semi")
+    asked = stored(nodes.distinct().join(classes, "node").select("node", "set_key", "low_id"), "asked")
+    # Texts that are not asked for are left behind before anything is shuffled.
+    near = _maybe_among(wanted, "doc_id", asked.select(F.col("low_id").alias("doc_id")))
+    rows = near.join(asked.select("low_id").distinct(), near["doc_id"].eqNullSafe(F.col("low_id")), "left_semi")
     sets = map_batches(rows.select("text"), _sets, _SETS).join(asked.select("node", "set_key"), "set_key")
     return stored(sets.groupBy("node").agg(F.first("shingles").alias("s")), "sets")
 

@@ -122,3 +122,18 @@ def test_one_of_each_group_stays(spark):
     assert len(kept) == len(groups) + len(blank)
     assert sorted(found[[d[1] for d in docs].index(r["text"])] for r in kept if shingles(r["text"])) == sorted(groups)
     assert kept[0]["kept"] == kept[0]["lang"]
+
+
+def test_texts_asked_for_are_never_left_behind(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from hourloom.llm import minhash_dedup
+
+    rows = spark.range(5000).select(F.when(F.col("id") > 0, F.col("id") * 7).alias("doc_id"), F.lit("t").alias("text"))
+    asked = rows.where("doc_id IS NULL OR doc_id % 5 = 0").select("doc_id")
+    for bits in (1 << 27, 1 << 10, 8):  # a map of few bits leaves more of the others, never fewer of these
+        monkeypatch.setattr(minhash_dedup, "MAP_BITS", bits)
+        got = minhash_dedup._maybe_among(rows, "doc_id", asked)
+        assert got.columns == rows.columns
+        assert got.join(asked, got["doc_id"].eqNullSafe(asked["doc_id"]), "left_semi").count() == asked.count()
+        assert got.count() <= (1100 if bits > 1 << 20 else 5000)
