@@ -43,6 +43,8 @@ HOT = 2_000_000
 END = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bits of a following word's hash that tell it apart within a context.
 NEXT_BITS = 48
+#: Bits of a signed number that a sorting key may take.
+KEY_BITS = 63
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 _CHUNK = "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, data binary"
@@ -189,17 +191,25 @@ class Chunk:
         self.trained = np.repeat(~self.held, self.sizes)
 
     def pairs(self, counts: np.ndarray, buckets: int):
-        """Distinct (bucket, context, next) in this order as one number, where each token's
-        is, and how often training texts have it."""
-        before = np.r_[len(self.words) - 1, self.codes[:-1]]  # the end mark has the greatest hash
-        key = self._bucket(before, self.codes, counts, buckets) << 44 | before << 22 | self.codes
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        """Distinct (bucket and context as one number, next) in this order, where each token's
+        is, and how often training texts have it.
+
+        The number is bucket * words + context. With the next word it mostly fits one more
+        number, which sorts faster; where the chunk has too many words for that, both are sorted by.
+        """
+        size = len(self.words)
+        before = np.r_[size - 1, self.codes[:-1]]  # the end mark has the greatest hash
+        place_of = self._bucket(before, self.codes, counts, buckets) * size + before
+        if buckets * size * size < 1 << KEY_BITS:
+            order = np.argsort(place_of * size + self.codes, kind="stable")
+        else:
+            order = np.lexsort((self.codes, place_of))
+        bc, code = place_of[order], self.codes[order]
+        first = np.flatnonzero(np.r_[True, (bc[1:] != bc[:-1]) | (code[1:] != code[:-1])])
         times = np.add.reduceat(self.trained[order], first, dtype=np.int64)
-        place = np.empty(len(key), np.int64)
-        place[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(key)]))
-        return ranked[first], place, times
+        place = np.empty(len(order), np.int64)
+        place[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+        return bc[first], code[first], place, times
 
     def home(self, buckets: int) -> np.ndarray:
         return home(self.words, buckets)
@@ -228,6 +238,11 @@ def _batches(rows: list[tuple[int, int, bytes]]) -> list[pa.RecordBatch]:
     return _answers(rows).to_batches()
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as hold them."""
+    return counts.astype(np.uint32 if counts.max(initial=0) < 2**32 else np.uint64)
+
+
 # Words
 
 
@@ -275,13 +290,14 @@ def _contexts(keys: np.ndarray, chunk: Chunk, counts: np.ndarray, buckets: int):
 
     A split context is asked for in all its buckets, with or without pairs of the chunk.
     """
-    asked = np.flatnonzero(np.bincount((keys >> 22) & 0x3FFFFF, minlength=len(chunk.words)))
+    size = len(chunk.words)
+    asked = np.flatnonzero(np.bincount(keys % size, minlength=size))
     parts = split_over(counts, chunk.hot)[asked]
     part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     context = np.repeat(asked, parts)
     bucket = (chunk.home(buckets)[context] + part) % buckets
-    wanted = np.unique(bucket << 22 | context)
-    runs = np.searchsorted(keys >> 22, wanted, side="right") - np.searchsorted(keys >> 22, wanted)
+    wanted = np.unique(bucket * size + context)
+    runs = np.searchsorted(keys, wanted, side="right") - np.searchsorted(keys, wanted)
     return wanted, runs
 
 
@@ -291,11 +307,10 @@ def _ask_pairs(buckets: int, hot: int):
             return _answers([])
         c = Chunk(left, hot)
         counts = _words_known(c, right)
-        keys, _, times = c.pairs(counts, buckets)
+        keys, after, _, times = c.pairs(counts, buckets)
         wanted, runs = _contexts(keys, c, counts, buckets)
-        after = keys & 0x3FFFFF
         ends = np.r_[0, np.cumsum(runs)]
-        cuts = np.searchsorted(wanted >> 22, np.arange(buckets + 1))
+        cuts = np.searchsorted(wanted // len(c.words), np.arange(buckets + 1))
         rows = []
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             contexts = slice(cuts[b], cuts[b + 1])
@@ -306,11 +321,11 @@ def _ask_pairs(buckets: int, hot: int):
                     c.id,
                     b,
                     packed(
-                        c.words[wanted[contexts] & 0x3FFFFF],
+                        c.words[wanted[contexts] % len(c.words)],
                         runs[contexts].astype(np.uint32),
                         (w & np.uint64(0xFFFFFFFF)).astype(np.uint32),
                         ((w >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16),
-                        counts[after[pairs]].astype(np.uint32 if counts.max(initial=0) < 2**32 else np.uint64),
+                        _narrow(counts[after[pairs]]),
                         times[pairs].astype(np.uint32),
                     ),
                 )
@@ -343,7 +358,7 @@ def _add_pairs(unigrams: Unigrams):
         rows, pair, at = [], 0, 0
         for c, x in zip(chunks, lists):
             n, mine = len(x[2]), context[at : at + len(x[0])]
-            data = packed(sums[place[pair : pair + n]].astype(np.uint32), share[mine], *low[mine].T)
+            data = packed(_narrow(sums[place[pair : pair + n]]), share[mine], *low[mine].T)
             rows.append((c, bucket, data))
             pair, at = pair + n, at + len(x[0])
         return _answers([*rows, (-1, bucket, packed(_stats(int(sums.sum()), sums)))])
@@ -366,9 +381,9 @@ def _score(buckets: int, hot: int, unigrams: Unigrams, d: np.ndarray):
         counts = _words_known(c, right.filter(pa.array(~of_pairs)))
         answers = right.filter(pa.array(of_pairs))
         answers = [unpacked(x) for _, x in sorted(zip(answers["bucket"].to_pylist(), answers["data"].to_pylist()))]
-        keys, place, _ = c.pairs(counts, buckets)
+        keys, w, place, _ = c.pairs(counts, buckets)
         wanted, _ = _contexts(keys, c, counts, buckets)
-        context = wanted & 0x3FFFFF
+        context = wanted % len(c.words)
         pair_counts = np.concatenate([a[0] for a in answers]).astype(np.float64)
         seen = np.bincount(context, np.concatenate([a[1] for a in answers]), len(c.words))
         low = np.stack(
@@ -377,7 +392,7 @@ def _score(buckets: int, hot: int, unigrams: Unigrams, d: np.ndarray):
         total = counts.astype(np.float64)  # every occurrence of a word is followed by another token
         scale, weight = backoff(total, low, seen, d)
         word_p = unigrams.p(counts)
-        v, w = (keys >> 22) & 0x3FFFFF, keys & 0x3FFFFF
+        v = keys % len(c.words)
         p = np.where(
             pair_counts > 0, scale[v] * discounted(pair_counts, d) / np.maximum(total[v], 1), weight[v] * word_p[w]
         )

@@ -99,9 +99,13 @@ def test_many_chunks_buckets_and_split_contexts(spark):
     check(spark, corpus(300), {"chunk_tokens": 500, "chunk_bytes": 2000, "bucket_pairs": 100, "hot": 200})
 
 
-def test_split_contexts_are_asked_for_in_all_their_buckets():
+@pytest.mark.parametrize("bits", [63, 12])
+def test_split_contexts_are_asked_for_in_all_their_buckets(monkeypatch, bits):
+    """Also where words and buckets are too many for one sorting key."""
     import pyarrow as pa
 
+    monkeypatch.setattr(katz, "KEY_BITS", bits)
+
     r = np.random.default_rng(1)
     words = np.sort(r.integers(0, 2**63, 30).astype(np.uint64))
     words = np.r_[words, katz.END]
@@ -112,14 +116,34 @@ def test_split_contexts_are_asked_for_in_all_their_buckets():
     )
     chunk = katz.Chunk(row, 50)
     counts = np.bincount(codes, minlength=31)
-    keys, place, times = chunk.pairs(counts, 8)
-    assert times.sum() == len(codes) and (keys[place] & 0x3FFFFF == codes).all()
+    keys, after, place, times = chunk.pairs(counts, 8)
+    assert times.sum() == len(codes) and (after[place] == codes).all()
+    assert (keys[place] % 31 == np.r_[30, codes[:-1]]).all() and len(set(zip(keys, after))) == len(keys)
+    assert sorted(zip(keys.tolist(), after.tolist())) == list(zip(keys.tolist(), after.tolist()))
     wanted, runs = katz._contexts(keys, chunk, counts, 8)
     assert runs.sum() == len(keys)
-    several = np.bincount(wanted & 0x3FFFFF, minlength=31)
+    several = np.bincount(wanted % 31, minlength=31)
     assert (several == np.where(counts > 0, np.minimum(katz.split_over(counts, 50), 8), 0)).all() and several.max() > 1
 
 
+def test_words_past_any_fixed_width(monkeypatch):
+    """More words than 22 bits count, as one long text may have: no two pairs share a key."""
+    import pyarrow as pa
+
+    n = (1 << 22) + 3
+    words = np.r_[np.arange(n, dtype=np.uint64) << np.uint64(40), katz.END]
+    codes = np.array([n - 1, 1, 0, n - 2, 1, 1, n - 1, 1, n], np.uint32)
+    row = pa.table(
+        {"chunk": [7], "doc_ids": [[1]], "held": [[False]], "sizes": pa.array([[len(codes)]], pa.list_(pa.int32())),
+         "data": [katz.packed(words, codes)]}
+    )
+    chunk = katz.Chunk(row)
+    for buckets in (1, 1 << 20):
+        keys, after, place, times = chunk.pairs(np.ones(n + 1, np.int64), buckets)
+        pairs = list(zip(np.r_[n, codes[:-1]].tolist(), codes.tolist()))
+        assert len(keys) == len(set(pairs)) and list(zip((keys % (n + 1))[place].tolist(), after[place].tolist())) == pairs
+
+
 def test_packed_arrays_come_back():
     arrays = [np.arange(300, dtype=np.uint32), np.array([], np.float64), np.array([2**64 - 1], np.uint64), np.ones(5, np.uint16)]
     for a, b in zip(arrays, katz.unpacked(katz.packed(*arrays))):
