@@ -37,7 +37,7 @@ from hourloom.shared import new_folder
 #: Counts up to here are discounted.
 DISCOUNTED = 5
 #: Tokens of a chunk, bytes of text a task is meant to read, pairs of a bucket.
-CHUNK_TOKENS, CHUNK_BYTES, BUCKET_PAIRS = 3_000_000, 24 << 20, 1_500_000
+CHUNK_TOKENS, CHUNK_BYTES, BUCKET_PAIRS = 2_000_000, 24 << 20, 1_500_000
 #: A context seen more often than this is split over so many buckets.
 HOT = 2_000_000
 END = np.uint64(0xFFFFFFFFFFFFFFFF)
