@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-import hourloom
-from hourloom.shared import new_folder
+from hourloom.shared import map_batches, new_folder, send_library  # noqa: F401
 
 #: Characters that separate words: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,33 +21,6 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SLICE, SLICE_BYTES = 256, 2 << 20
 
 
-# Applications whose executors have been sent the library.
-_SENT: set[str] = set()
-
-
-def send_library(spark: SparkSession) -> None:
-    """Send the library's modules to the executors, whose Python may not find them otherwise."""
-    context, top = spark.sparkContext, os.path.dirname(os.path.abspath(hourloom.__file__))
-    if context.applicationId in _SENT or not os.path.isdir(top):
-        return
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="hourloom-code-")), "hourloom-code.zip")
-    with zipfile.ZipFile(path, "w") as code:
-        for folder, _, names in os.walk(top):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                code.write(full, os.path.relpath(full, os.path.dirname(top)))
-    context.addPyFile(path)  # the driver serves it; executors fetch it
-    _SENT.add(context.applicationId)
-
-
-def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
-) -> DataFrame:
-    """mapInArrow, with the library at hand on the executors."""
-    send_library(df.sparkSession)
-    return df.mapInArrow(function, schema)
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
