@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourloom.operators.profile import null_counts
 from hourloom.plans.daily import Warehouse, daily_run
 from hourloom.plans.forecast import same_hour_last_week
 from hourloom.plans.quality import power_rules, weather_rules
@@ -265,3 +266,27 @@ def _board_sql() -> str:
 @query(over("weather", _board_sql(), **_BY_KEY, **_FOUND))
 def daily_board(spark, folder):
     return spark.read.parquet(warehouse(spark, folder).status_path)
+
+
+def _failures(mart: str, source: str) -> str:
+    return f"""SELECT '{mart}' AS mart, unnest(['date', 'hour']) AS "column",
+      unnest([COUNT(*) FILTER (WHERE date IS NULL), COUNT(*) FILTER (WHERE hour IS NULL)]) AS failures FROM ({source})"""
+
+
+@query(
+    over(
+        "weather mapping calendar",
+        f"{_failures('ml_features', _ALL)} UNION ALL {_failures('dashboard', _SHOWN)}",
+        **_BY_KEY,
+        **_RUNS,
+        **_VIEWS,
+    )
+)
+def daily_not_null_tests(spark, folder):
+    """The not-null tests of both stored marts."""
+    w = warehouse(spark, folder)
+    tests = [
+        null_counts(table.read(), ["date", "hour"]).select(F.lit(mart).alias("mart"), "column", "failures")
+        for mart, table in (("ml_features", w.features), ("dashboard", w.dashboard))
+    ]
+    return tests[0].unionByName(tests[1])

@@ -13,6 +13,7 @@ from hourloom.plans.dashboard import dashboard_history
 from hourloom.shared import new_folder
 from hourloom.workload import adapters
 from hourloom.workload.adapters import AS_OF
+from hourloom.workload.marts import _DASHBOARD
 from hourloom.workload.registry import query
 from hourloom.workload.sql import over
 
@@ -154,8 +155,12 @@ def replace_two_sided_window(spark, folder):
 @query(
     over(
         "predictions energy",
-        """SELECT execution_id, CAST(p.created_at AS DATE) AS prediction_run_date, prediction_date, prediction_hour,
-          predicted_power_kwh AS predicted_power, actual_power FROM predictions p
+        """SELECT execution_id, CAST(p.created_at AS DATE) AS prediction_run_date,
+          p.created_at AS prediction_run_datetime, prediction_date, prediction_hour,
+          predicted_power_kwh AS predicted_power, actual_power,
+          abs(predicted_power_kwh - actual_power) AS error_absolute,
+          abs(predicted_power_kwh - actual_power) / nullif(actual_power, 0) * 100 AS error_percentage,
+          date_diff('day', CAST(p.created_at AS DATE), prediction_date) AS days_ahead FROM predictions p
         JOIN energy e ON p.prediction_date = e.date AND p.prediction_hour = e.hour
         WHERE CAST(p.created_at AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-31' AND e.date < DATE '2024-01-31'
           AND (CAST(p.created_at AS DATE) >= DATE '2024-01-17' OR e.date < DATE '2024-01-17')
@@ -166,11 +171,10 @@ def replace_two_sided_window(spark, folder):
 def refresh_accuracy_window(spark, folder):
     """Accuracy as of two weeks before, then refreshed by run date as of the last day."""
     stored = DatedTable(spark, new_folder(spark, "accuracy"), date="prediction_run_date")
-    columns = ["execution_id", "prediction_run_date", "prediction_date", "prediction_hour", "predicted_power", "actual_power"]
     runs, energy = adapters.predictions(spark, folder), adapters.energy(spark, folder)
     earlier = AS_OF - dt.timedelta(days=14)
-    stored.create(prediction_accuracy(runs, energy, earlier).select(*columns))
-    stored.replace_window(prediction_accuracy(runs, energy, AS_OF).select(*columns), earlier, AS_OF)
+    stored.create(prediction_accuracy(runs, energy, earlier))
+    stored.replace_window(prediction_accuracy(runs, energy, AS_OF), earlier, AS_OF)
     return stored.read()
 
 
@@ -214,12 +218,11 @@ def snapshot_replace(spark, folder):
 @query(
     over(
         "energy weather calendar predictions",
-        """SELECT date, hour, actual_power, supply_capacity, predicted_power_kwh AS predicted_power, temperature_2m,
-          day_of_week, predicted_power_kwh - actual_power AS difference
-        FROM energy LEFT JOIN area USING (date, hour) LEFT JOIN calendar USING (date) LEFT JOIN newest USING (date, hour)
-        WHERE date < DATE '2024-01-21'""",
-        area="SELECT date, CAST(hour AS INT) AS hour, temperature_2m FROM weather WHERE prefecture = 'view'",
-        newest="""SELECT prediction_date AS date, prediction_hour AS hour,
+        _DASHBOARD.replace("GRAIN", "date, hour"),
+        shown_reading="SELECT date, hour, actual_power, supply_capacity FROM energy WHERE date < DATE '2024-01-21'",
+        shown_weather="""SELECT date, CAST(hour AS INT) AS hour, temperature_2m, relative_humidity_2m, precipitation,
+          weather_code FROM weather WHERE prefecture = 'view'""",
+        shown_forecast="""SELECT prediction_date AS date, prediction_hour AS hour,
           arg_max(predicted_power_kwh, created_at) AS predicted_power_kwh FROM predictions GROUP BY ALL""",
     )
 )
@@ -236,16 +239,7 @@ def historical_load(spark, folder):
             ("prefecture", adapters.SITE),
         )
     )
-    return stored.read().select(
-        "date",
-        "hour",
-        "actual_power",
-        "supply_capacity",
-        "predicted_power",
-        "temperature_2m",
-        "day_of_week",
-        (F.col("predicted_power") - F.col("actual_power")).alias("difference"),
-    )
+    return stored.read()
 
 
 @query(

@@ -264,14 +264,21 @@ def quality_overall(spark, folder):
     return overall_status(all_findings(spark, folder))
 
 
+_TEXTS = """CASE check_type
+    WHEN 'missing' THEN '期待レコード数: 720, 実際: ' || found || ', 欠損: ' || issue_count
+    WHEN 'null' THEN check_target || 'がNULLのレコード: ' || issue_count || '件'
+    ELSE check_target || 'が異常範囲（' || limits || '）: ' || issue_count || '件' END"""
 
 
 @query(
     over(
         "site_energy",
-        f"""SELECT user_id, check_type, check_target, issue_count, {_STATUS_SQL} FROM (
-          SELECT user_id, unnest(['missing', 'null', 'null', 'outlier', 'outlier']) AS check_type,
+        f"""SELECT user_id, DATE '2024-01-31' AS check_date, TIMESTAMP '2024-01-31' AS check_timestamp, 'power' AS data_type,
+          check_type, check_target, issue_count, {_TEXTS} AS issue_detail,
+          DATE '2024-01-01' AS check_period_start, DATE '2024-01-30' AS check_period_end, {_STATUS_SQL} FROM (
+          SELECT user_id, COUNT(*) AS found, unnest(['missing', 'null', 'null', 'outlier', 'outlier']) AS check_type,
             unnest(['全体', 'actual_power', 'supply_capacity', 'actual_power', 'supply_capacity']) AS check_target,
+            unnest(['', '', '', '<1 or >90', '<60 or >120 or <actual_power']) AS limits,
             unnest([720 - COUNT(*), COUNT(*) FILTER (WHERE actual_power IS NULL),
               COUNT(*) FILTER (WHERE supply_capacity IS NULL),
               COUNT(*) FILTER (WHERE actual_power < 1 OR actual_power > 90),
@@ -281,7 +288,7 @@ def quality_overall(spark, folder):
     )
 )
 def quality_by_site(spark, folder):
-    findings = quality_checks(
+    return quality_checks(
         adapters.energy(spark, folder, ["user_id"]),
         "power",
         power_rules((1, 90), (60, 120)),
@@ -289,7 +296,6 @@ def quality_by_site(spark, folder):
         AS_OF,
         by=["user_id"],
     )
-    return findings.select("user_id", "check_type", "check_target", "issue_count", "status")
 
 
 @query("SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS month FROM orders")
