@@ -40,7 +40,7 @@ def _site_hours(spark: SparkSession, folder: str) -> DataFrame:
     return adapters.energy(spark, folder, ["event_type"]).withColumnRenamed("event_type", "site")
 
 
-def _sectioned_files(spark: SparkSession, folder: str, factor: float = 1.0) -> DataFrame:
+def _sectioned_files(spark: SparkSession, folder: str, factor: float = 1.0, hours: DataFrame | None = None) -> DataFrame:
     """A file per site and day, at most 24 lines; some hours are absent, some unreadable."""
     unreadable = (F.col("site") == "error") & (F.dayofmonth("date") % 10 == 3) & (F.col("hour") == 5)
     line = F.concat_ws(
@@ -58,7 +58,7 @@ def _sectioned_files(spark: SparkSession, folder: str, factor: float = 1.0) -> D
     before = F.lit("ピーク時供給力(万kW),時間帯\r\n100,18:00\r\n\r\n" + sectioned.MARKER + ",予測値(万kW),使用率(%),供給力(万kW)\r\n")
     text = F.concat(before, F.array_join(lines, "\r\n"), F.lit("\r\n\r\nDATE,TIME,5分間隔値\r\n"))
     texts = (
-        _site_hours(spark, folder)
+        (_site_hours(spark, folder) if hours is None else hours)
         .groupBy("site", "date")
         .agg(text.alias("text"))
         .withColumn("path", F.concat_ws("/", "site", F.col("date").cast("string")))
@@ -447,6 +447,20 @@ def export_per_key(spark, folder):
     return spark.read.schema(joined.schema).option("header", "true").csv(path)
 
 
+# All hours of a site's days; the last one is absent on some days.
+_WHOLE_HOURS = f"""SELECT site, date, CAST(h AS INT) AS hour, coalesce(actual_power, 0.0::DOUBLE) AS actual_power,
+    coalesce(supply_capacity, 0.0::DOUBLE) AS supply_capacity
+  FROM (SELECT DISTINCT site, date FROM ({_SITE_HOURS})) CROSS JOIN generate_series(0, 23) t(h)
+  LEFT JOIN (SELECT *, hour AS h FROM ({_SITE_HOURS})) x USING (site, date, h) WHERE NOT (day(date) % 9 = 4 AND h = 23)"""
+
+
+def _whole_hours(spark: SparkSession, folder: str) -> DataFrame:
+    known = _site_hours(spark, folder).select("site", "date", "hour", "actual_power", "supply_capacity")
+    days = known.select("site", "date").distinct().select("site", "date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    days = days.where(~((F.dayofmonth("date") % 9 == 4) & (F.col("hour") == 23)))
+    return days.join(known, ["site", "date", "hour"], "left").na.fill(0.0, ["actual_power", "supply_capacity"])
+
+
 def _write_files(files: DataFrame, path: str) -> None:
     """One text file each, in a folder per site."""
     files.select("site", "text").write.mode("append").option("maxRecordsPerFile", 1).partitionBy("site").text(path)
@@ -457,7 +471,7 @@ def _file_texts(spark: SparkSession, folder: str, factor: float = 1.0) -> DataFr
     with sectioned.legacy_charsets(spark):
         text = F.decode("content", sectioned.ENCODING)
         bits = F.split("path", "/")
-        return _sectioned_files(spark, folder, factor).select(
+        return _sectioned_files(spark, folder, factor, _whole_hours(spark, folder)).select(
             bits[0].alias("site"), bits[1].cast("date").alias("date"), text.alias("text")
         )
 
@@ -493,7 +507,7 @@ def _streamed(spark: SparkSession, folder: str) -> tuple[DatedTable, str]:
     return loaded, record
 
 
-@query(over("", _DELIVERED, site_hours=_SITE_HOURS, files=_FILES))
+@query(over("", _DELIVERED, site_hours=_WHOLE_HOURS, files=_FILES))
 def files_streamed(spark, folder):
     """Each date of each site once, as the last delivery had it."""
     return _streamed(spark, folder)[0].read()
@@ -509,7 +523,7 @@ def files_streamed(spark, folder):
             unnest(if({_TWICE}, [if(day(date) <= 20, 0, 1), 1], [if(day(date) <= 20, 0, 1)])) AS batch
           FROM (SELECT *, split_part(path, '/', 1) AS site, CAST(split_part(path, '/', 2) AS DATE) AS date FROM files))
         GROUP BY ALL""",
-        site_hours=_SITE_HOURS,
+        site_hours=_WHOLE_HOURS,
         files=_FILES,
     )
 )
@@ -527,7 +541,7 @@ def stream_record(spark, folder):
           COUNT(*) FILTER (WHERE n < 24 OR broken) AS bad FROM (FROM files UNION ALL (SELECT path, n, broken FROM
             (SELECT *, split_part(path, '/', 1) AS site, CAST(split_part(path, '/', 2) AS DATE) AS date FROM files)
             WHERE {_TWICE})))""",
-        site_hours=_SITE_HOURS,
+        site_hours=_WHOLE_HOURS,
         files=_FILES,
     )
 )
