@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import stored
+from hourloom.llm.common import discard, stored, stored_at
 
-#: Leaders a bucket may send against its members in one round; bounds what a round makes.
-MOST_LEADERS = 64
+#: Leaders a bucket sends against its members in the second round; twice as many in each next.
+LEADERS = 15
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -82,30 +82,31 @@ def link_buckets(
     Returns (node, component) for linked nodes, and the links found.
 
     Every bucket sends its smallest member against all others. Where that does not make
-    the bucket one component, its next members are sent, a bounded number per round, and
+    the bucket one component, its next members are sent, twice as many each round, and
     only against members of other components, until every member of such a bucket has
-    been sent. So two members that link always end in one component, though pairs inside
-    a component are not listed, and a bucket never makes more than a bounded number of
-    rows per member and round.
+    been sent: rounds grow with the logarithm of the largest such bucket. So two members that
+    link always end in one component, though pairs inside a component are not listed.
     """
-    heads = stored(buckets.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "heads")
-    buckets = stored(buckets.join(heads, "key"), "buckets")
-    first = buckets.where("node = a").select("key", "a", F.col("sig").alias("asig"))
-    pairs = buckets.drop("a", "n").join(first, "key").where((F.col("node") != F.col("a")) & near(F.col("asig"), F.col("sig")))
-    tried = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
+    spark = buckets.sparkSession
+    dealt = buckets.repartition("key")  # shuffled once: the two reads below are the same
+    heads = dealt.groupBy("key").agg(F.min(F.struct("node", "sig")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    met, met_at = stored_at(dealt.join(heads, "key"), "buckets")
+    pairs = met.where((F.col("node") != F.col("head.node")) & near(F.col("head.sig"), F.col("sig")))
+    tried = stored(pairs.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = stored(verify(tried), "links")
     labels = merged_labels(None, links)
-    rest = buckets.where("n > 2").select("key", "node", "sig")
-    rank, width = 1, 15
+    rest, rest_at = met.where("n > 2").select("key", "node", "sig"), met_at
+    rank, width = 1, LEADERS
     while True:
         named = rest.join(labels, "node", "left").select("key", "node", "sig", F.coalesce("component", "node").alias("c"))
         open_keys = (
             named.groupBy("key")
             .agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-            .where((F.col("lo") != F.col("hi")) & (F.col("n") > rank + 1))
+            .where((F.col("lo") != F.col("hi")) & (F.col("n") > rank))
             .select("key")
         )
-        live = stored(named.join(open_keys, "key"), "open-buckets")
+        live, live_at = stored_at(named.join(open_keys, "key"), "open-buckets")
+        discard(spark, rest_at)
         if live.isEmpty():
             return labels, links
         place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
@@ -121,5 +122,5 @@ def link_buckets(
         tried = tried.unionByName(pairs)
         more = stored(verify(pairs), "links")
         links, labels = links.unionByName(more), merged_labels(labels, more)
-        rest = live.select("key", "node", "sig")
-        rank, width = rank + width, MOST_LEADERS
+        rest, rest_at = live.select("key", "node", "sig"), live_at
+        rank, width = rank + width, 2 * width
