@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from hourloom.operators.joins import BROADCAST_ROWS, is_small, small_side
 from hourloom.shared import written
 
-# Slots that share a 64-bit word; sums of this many different bits, repeated, stay apart from overflow.
-SLOTS_OF_WORD = 31
+#: Days of a chunk of dates; a lag of fewer days reaches at most one other chunk.
+CHUNK_DAYS = 128
 #: Salts that the rows of a crowded date are dealt to at most.
 SALTS = 64
 
@@ -39,8 +39,8 @@ def lag_by_date(
     date now.
 
     ``unique=True`` says (keys, date) is unique and not NULL. Then each row is sent
-    forward to the dates that look back at it, and a single shuffle on (keys, date)
-    gathers a row with all its lags. A repeated grain fails the query.
+    forward to the chunks of dates that look back at it, and a single shuffle on (keys, chunk)
+    gathers rows with all their lags, however many. A repeated grain fails the query.
     """
     if unique:
         return _send_forward(df, mapping, value, lags, keys, date)
@@ -138,51 +138,68 @@ def _crowded(df, past, mapping, value, lags, keys, date, crowd: int) -> DataFram
 
 
 def _send_forward(df, mapping, value, lags, keys, date) -> DataFrame:
+    """Rows of a unique grain with their lags, from one shuffle into chunks of dates.
+
+    A row goes to its own chunk of ``CHUNK_DAYS`` days and, with its value alone, to the other chunks
+    whose dates look back at it. So what is shuffled grows with the chunks that a lag reaches, not with
+    the number of lags; a group holds at most the dates of a chunk and those they look back at.
+    """
+    if dict(df.dtypes)[date] != "date":
+        raise TypeError(f"{date} must be a date")
     others = [c for c in df.columns if c not in keys and c != date]
-    links = _links(mapping, lags)
-    # One row per date; the list holds the few dates that look back at it.
-    forward = links.groupBy("__from").agg(F.collect_list(F.struct("target", "slot")).alias("__to"))
+    kind = df.schema[value].dataType
+    links = _links(mapping, lags).select("__from", _chunk(F.col("target")).alias("chunk"))
+    # One row per date; the list holds the few chunks with dates that look back at it.
+    forward = links.groupBy("__from").agg(F.collect_set("chunk").alias("__to"))
+    looks = mapping.where("base_date IS NOT NULL")
     if is_small(mapping, BROADCAST_ROWS // len(lags)):
         # Its lists hold at most one entry per mapping row and lag.
-        forward = F.broadcast(forward)
-    itself = F.array(F.struct(F.col(date).alias("target"), F.lit(0).alias("slot")))
+        forward, looks = F.broadcast(forward), looks.coalesce(1)
+    looks = looks.groupBy(F.col("base_date").alias("__day"))
+    looks = looks.agg(F.collect_list(F.array(*[F.col(c) for c in lags.values()])).alias("__backs"))
+    if is_small(mapping, BROADCAST_ROWS // len(lags)):
+        looks = F.broadcast(looks)
+    chunks = F.array_union(F.array(_chunk(F.col(date))), F.coalesce("__to", F.array().cast("array<int>")))
     sent = df.join(forward, F.col(date) == F.col("__from"), "left").select(
-        *keys,
-        *others,
-        F.inline(F.when(F.col("__to").isNull(), itself).otherwise(F.concat(itself, F.col("__to")))),
+        *keys, date, *others, F.posexplode(chunks).alias("slot", "__chunk")
     )
-    # What is sent to other dates is the value alone.
-    own_only = [F.when(F.col("slot") == 0, F.col(c)).alias(c) for c in others if c != value]
-    sent = sent.select(*keys, "target", "slot", value, *own_only)
-
-    def at(slot: int, column: str):
-        return F.max(F.when(F.col("slot") == slot, F.col(column)))
-
-    # Each slot has its own bit of a word: the sum of bits is their union unless one came twice.
-    words = range(len(lags) // SLOTS_OF_WORD + 1)
-    bits = [
-        F.expr(f"CASE WHEN slot DIV {SLOTS_OF_WORD} = {w} THEN shiftleft(1L, slot % {SLOTS_OF_WORD}) ELSE 0L END")
-        for w in words
-    ]
-    # Rows of a unique grain cannot be combined before the shuffle, so they are shuffled
-    # as they are, which is narrower than partial aggregates.
-    gathered = (
-        sent.repartition(*keys, "target")
-        .groupBy(*keys, F.col("target").alias(date))
-        .agg(
-            *[at(0, c).alias(c) for c in others],
-            *[at(i, value).alias(name) for i, name in enumerate(lags, start=1)],
-            *[F.sum(bit).alias(f"__sum{w}") for w, bit in zip(words, bits)],
-            *[F.bit_or(bit).alias(f"__seen{w}") for w, bit in zip(words, bits)],
-        )
+    # What is sent to other chunks is the date and the value alone.
+    own_only = [F.when(F.col("slot") == 0, F.col(c)).alias(f"c{i}") for i, c in enumerate(others) if c != value]
+    row = F.struct(F.col(date).alias("day"), F.col("slot"), F.col(value).alias("value"), *own_only)
+    sent = sent.select(*keys, "__chunk", row.alias("__row")).repartition(*keys, "__chunk")
+    # At most a row per date of the chunk, and of dates that these look back at.
+    gathered = sent.groupBy(*keys, "__chunk").agg(F.collect_list("__row").alias("__rows")).select(
+        *keys,
+        "__chunk",
+        F.filter("__rows", lambda r: r["slot"] == 0).alias("__own"),
+        F.array_sort(F.transform("__rows", lambda r: F.struct(r["day"], r["value"]))).alias("__past"),
     )
-    grain = [*keys, date]
-    broken = F.lit(False)
-    for w in words:
-        broken = broken | (F.col(f"__sum{w}") != F.col(f"__seen{w}"))
-    for c in grain:
+    complaint = F.raise_error(F.lit(f"rows are not unique and non-null on ({', '.join([*keys, date])})"))
+    broken = F.size(F.array_distinct(F.col("__own.day"))) < F.size("__own")
+    for c in [*keys, "__chunk"]:
         broken = broken | F.col(c).isNull()
-    complaint = F.raise_error(F.lit(f"rows are not unique and non-null on ({', '.join(grain)})"))
-    own = F.col("__seen0").bitwiseAND(1) == 1
-    checked = gathered.where(F.when(broken, complaint.cast("boolean")).otherwise(own))
-    return checked.select(*df.columns, *lags)
+    gathered = gathered.where(F.when(broken, complaint.cast("boolean")).otherwise(F.lit(True)))
+
+    def after_gap(row: Column, i: Column) -> Column:
+        before = F.datediff(row["day"], F.get("__past", i - 1)["day"])
+        return F.concat(F.array_repeat(F.lit(None).cast(kind), F.coalesce(before, F.lit(1)) - 1), F.array(row["value"]))
+
+    # Values day by day from the first, so that a date is found by its place.
+    daily = gathered.select(
+        *keys, "__own", F.get("__past", F.lit(0))["day"].alias("__first"), F.flatten(F.transform("__past", after_gap)).alias("__daily")
+    )
+    rows = daily.select(*keys, "__first", "__daily", F.explode("__own").alias("__row"))
+    rows = rows.join(looks, F.col("__row.day") == F.col("__day"), "left")
+    repeated = F.raise_error(F.lit("the mapping's dates are not unique"))
+    rows = rows.where(F.when(F.size("__backs") > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+    found = F.transform(F.get("__backs", F.lit(0)), lambda d: F.get("__daily", F.datediff(d, F.col("__first"))))
+    rows = rows.select(*keys, "__row", found.alias("__found"))
+    own = [F.col("__row.value" if c == value else f"__row.c{i}").alias(c) for i, c in enumerate(others)]
+    out = rows.select(
+        *keys, F.col("__row.day").alias(date), *own, *[F.get("__found", F.lit(i)).alias(name) for i, name in enumerate(lags)]
+    )
+    return out.select(*df.columns, *lags)
+
+
+def _chunk(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / CHUNK_DAYS).cast("int")

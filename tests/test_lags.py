@@ -132,3 +132,29 @@ def test_features_of_a_refresh_keep_the_last_week_and_the_future(spark, mapping)
     assert day[18]["lag_7_day"] == 10.0 and day[18]["lag_1_business_day"] == 16.0
     assert day[20]["lag_1_business_day"] is None
     assert abs(day[18]["hour_sin"] - 0.9659258262890683) < 1e-12
+
+
+def _records_shuffled(plan):
+    """Rows written by all shuffles of a plan that has run."""
+    name, own = plan.getClass().getSimpleName(), 0
+    if name == "AdaptiveSparkPlanExec":
+        return _records_shuffled(plan.executedPlan())
+    if name == "ShuffleQueryStageExec":
+        return _records_shuffled(plan.plan())
+    if name == "ShuffleExchangeExec":
+        own = plan.metrics().get("shuffleRecordsWritten").get().value()
+    children = plan.children()
+    return own + sum(_records_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_shuffled_rows_do_not_grow_with_the_lags(spark):
+    n = 60
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(200)]
+    back = [(d, *[d - dt.timedelta(days=k) for k in range(1, n + 1)]) for d in days]
+    mapping = spark.createDataFrame(back, "base_date date, " + ", ".join(f"lag_{k} date" for k in range(1, n + 1))).cache()
+    df = _frame(spark, [(d, h, float(i), 1.0) for i, d in enumerate(days) for h in range(5)])
+    sent = lag_by_date(df, mapping, "actual_power", {f"l{k}": f"lag_{k}" for k in range(1, n + 1)}, unique=True)
+    rows = {(r["date"], r["hour"]): r for r in sent.collect()}
+    assert len(rows) == 1000 and rows[days[150], 3]["l60"] == 90.0 and rows[days[30], 0]["l31"] is None
+    # Each row in its chunk and at most one more, and the rows of the mapping.
+    assert _records_shuffled(sent._jdf.queryExecution().executedPlan()) <= 2 * 1000 + len(days)
