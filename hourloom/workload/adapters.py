@@ -119,10 +119,14 @@ def _stored(spark: SparkSession, folder: str, name: str, make: Callable[[], Data
 
 def predictions(spark: SparkSession, folder: str, keys: Sequence[str] = ()) -> DataFrame:
     """Three runs per target: 1, 3 and 7 days ahead."""
+    return predictions_of(energy(spark, folder, keys), keys)
+
+
+def predictions_of(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The runs that aim at these readings."""
     percent = F.lit(100) + F.col("hour") % 5 - 2 + F.col("k")
     return (
-        energy(spark, folder, keys)
-        .select("*", F.explode(F.array(F.lit(1), F.lit(3), F.lit(7))).alias("k"))
+        readings.select("*", F.explode(F.array(F.lit(1), F.lit(3), F.lit(7))).alias("k"))
         .select(
             *keys,
             F.concat(F.lit("run-"), F.col("k").cast("string")).alias("execution_id"),

@@ -16,7 +16,7 @@ from hourloom.plans.daily import Warehouse, daily_run
 from hourloom.plans.forecast import same_hour_last_week
 from hourloom.plans.quality import power_rules, weather_rules
 from hourloom.plans.status import PROCESSES
-from hourloom.shared import new_folder
+from hourloom.shared import new_folder, written
 from hourloom.sources.tables import PREDICTION_COLUMNS
 from hourloom.workload import adapters
 from hourloom.workload.marts import _FEATURES, _dashboard_sql, _rounded
@@ -69,10 +69,11 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
         weather_rules=weather_rules(),
         clock=lambda: next(clock),
     )
-    energy = adapters.energy(spark, folder, [KEY])
-    weather = adapters.weather(spark, folder, KEY, KEY)
+    # The files of both runs are cut from these; the events behind them are read once for each.
+    energy = written(adapters.energy(spark, folder, [KEY]), "daily-readings")
+    weather = written(adapters.weather(spark, folder, KEY, KEY), "daily-weather")
     date = F.col("date")
-    earlier = adapters.predictions(spark, folder, [KEY]).where(F.col("prediction_date") < F.lit(FIRST))
+    earlier = adapters.predictions_of(energy, [KEY]).where(F.col("prediction_date") < F.lit(FIRST))
     run_date = F.col("created_at").cast("date")
     w.predictions.append(earlier.withColumn("prediction_run_date", run_date).select(KEY, *PREDICTION_COLUMNS))
     known = energy.where((date < F.lit(FIRST)) & ~((date == F.lit(LATE)) & (F.col("hour") >= 12)))
