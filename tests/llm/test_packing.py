@@ -26,6 +26,49 @@ def test_search_exchanges_pieces_until_a_bin_empties():
     assert len(bins) == 2 and all(lengths[b].sum() == 10 for b in bins)
 
 
+def step_left(lengths, bins, capacity):
+    """Whether a bin can be filled further from one no fuller, by brute force."""
+    held = [lengths[b].tolist() for b in bins]
+    for target in held:
+        room = capacity - sum(target)
+        for other in held:
+            if other is target or sum(other) > sum(target):
+                continue
+            given = other + [x + y for i, x in enumerate(other) for y in other[:i]]
+            if any(x <= room for x in other) or any(0 < x - mine <= room for x in given for mine in target):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_ends_only_where_no_step_is_left(seed):
+    lengths = np.random.default_rng(seed).integers(22, 64, 400)
+    bins = packing.pack(lengths, 100)
+    assert sorted(i for b in bins for i in b) == list(range(400))
+    assert len(bins) == -(-lengths.sum() // 100) or not step_left(lengths, bins, 100)
+
+
+def test_search_saves_bins_that_best_fit_needs():
+    lengths = np.random.default_rng(0).integers(600, 1300, 2000)
+    assert len(packing.pack(lengths)) < 0.97 * len(packing.best_fit(lengths))
+
+
+def test_rounds_go_on_while_bins_are_filled(spark, monkeypatch):
+    counts = []
+
+    def stored(df, label, keep=packing.stored):
+        made = keep(df, label)
+        if label == "packed":
+            counts.append((made.count(), made.selectExpr("sequence_id >> 24").distinct().count()))
+        return made
+
+    monkeypatch.setattr(packing, "stored", stored)
+    docs = [(i, "a " * (20 + i * 37 % 41), "en", "s", 1) for i in range(400)]
+    rows = packing.best_fit_packing(table(spark, docs), PATH, capacity=64, group_pieces=25).collect()
+    check(rows, docs, 64)
+    assert len(counts) > 1 and (counts[-1][1] == 1 or counts[-1][0] == counts[-2][0])
+
+
 def check(rows, docs, capacity):
     library = tokenizers.Tokenizer.from_file(PATH)
     want = []
